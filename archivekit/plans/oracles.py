@@ -505,9 +505,14 @@ _BODIES = {
           FROM lines GROUP BY ALL HAVING count(*) FILTER (contains(line, ' error ')) * 4 > count(*))
         USING (station, day)""",
     "import_archive": """
-        SELECT DISTINCT 'VW' AS net, r.sta, '00' AS loc, 'CH' || right(r.cha, 1) AS cha,
+        SELECT DISTINCT CASE WHEN c.ord IS NULL THEN net ELSE 'VW' END AS net, r.sta,
+               CASE WHEN c.ord IS NULL THEN loc ELSE '00' END AS loc,
+               CASE WHEN c.ord IS NULL THEN r.cha ELSE 'CH' || right(r.cha, 1) END AS cha,
                start_ts, end_ts, n_samples, rate, year(start_ts) AS year, dayofyear(start_ts) AS doy
-        FROM run_records r JOIN run_channels c
+        FROM run_records r
+        JOIN run_channels f ON f.station_dir = r.station_dir AND f.day = r.day AND f.ord = 1
+             AND length(r.cha) = 3 AND left(r.cha, 2) = left(f.cha, 2)
+        LEFT JOIN run_channels c
           ON c.station_dir = r.station_dir AND c.day = r.day AND c.stream_id = r.stream_id""",
 }
 

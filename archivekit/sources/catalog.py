@@ -12,7 +12,11 @@ from archivekit.functions import streams as S
 
 
 def scan_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Regular files below `root`. Contents are never read: the scan prunes them."""
+    """Regular files below `root`. Contents are never read: the scan prunes them.
+
+    Spark's listing leaves out empty files and names starting with `_` or `.`;
+    a listing from elsewhere with the same columns works as well.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
