@@ -14,7 +14,10 @@ NAME_GRAMMAR = (
     r"^(\d{4}-?\d{2}-?\d{2})[ _](\d{4})(?:[ _](\d{2}))?[ _]([A-Z0-9]+)"
     r"(?:_([A-Z0-9]{3}))?((?:\.[a-z]+)+)$"
 )
-PATH_GRAMMAR = r"^.*/([^/]+)/continuous/(\d{4})/(\d{1,2})/(\d{1,2})/[^/]+$"
+# date and minute, delimited, at the start of a name
+MINUTE_PREFIX = r"^(?:\d{4}-\d{2}-\d{2}|\d{8})[ _]\d{4}[ _]"
+# station, "continuous", year, month, day, name: the last six parts of a path
+DAY_FOLDER = r"^[^/]+/continuous/\d{4}/\d{1,2}/\d{1,2}/[^/]+$"
 STRICT_SPACED_ECHO = r"^\d{4}-\d{2}-\d{2} \d{4} \d{2} .*\.dmx$"
 STRICT_SPACED_GECKO = r"^\d{4}-\d{2}-\d{2} \d{4} \d{2} [A-Z0-9_]+\.(ms|dmx)(\.zip)?$"
 
@@ -32,10 +35,13 @@ EXTENSIONS = {
 _MARK = "\x01"
 
 
-def _fields(text: Column, pattern: str, template: list[str]) -> Column:
-    """Rewrite a matching text to its parts in one regex pass; NULL otherwise."""
-    parts = F.split(F.regexp_replace(text, pattern, _MARK.join(template)), _MARK)
-    return F.when(F.size(parts) == len(template), parts)
+def _rewritten(text: Column, pattern: str, groups: int) -> Column:
+    """Groups of a matching text as an array, in one regex pass.
+
+    A text that does not match comes back as an array of itself.
+    """
+    template = _MARK.join(f"${g}" for g in range(1, groups + 1))
+    return F.split(F.regexp_replace(text, pattern, template), _MARK)
 
 
 def _blank_to_null(text: Column) -> Column:
@@ -142,10 +148,21 @@ def station_token(name: Column, family: str) -> Column:
     the token before it.
     """
     cut = ".dmx" if family == "echo" else ".ms"
-    tokens = F.split(F.split_part(name, F.lit(cut), F.lit(1)), r"[\s_]+")
-    last = F.get(tokens, F.size(tokens) - 1)
-    per_channel = F.rlike(name, F.lit(r"[ _][A-Z0-9]+_[A-Z0-9]{3}\.mseed"))
-    return F.when(per_channel, F.get(tokens, F.size(tokens) - 2)).otherwise(last)
+    head = F.translate(F.split_part(name, F.lit(cut), F.lit(1)), " \t", "__")
+    per_channel = F.contains(name, F.lit(".mseed")) & F.rlike(
+        name, F.lit(r"[ _][A-Z0-9]+_[A-Z0-9]{3}\.mseed")
+    )
+    return F.when(
+        per_channel, F.substring_index(F.substring_index(head, "_", -2), "_", 1)
+    ).otherwise(F.substring_index(head, "_", -1))
+
+
+def hhmm(name: Column) -> Column:
+    """The four digits after the date; NULL where a name has none."""
+    digits = F.when(F.substring(name, 5, 1) == "-", F.substring(name, 12, 4)).otherwise(
+        F.substring(name, 10, 4)
+    )
+    return F.when(F.rlike(name, F.lit(MINUTE_PREFIX)), digits)
 
 
 def minute_of_day(hhmm: Column) -> Column:
@@ -175,11 +192,9 @@ def parse_name(files: DataFrame, name: str = "name") -> DataFrame:
     """Add the parts of the name grammar; names outside it get NULLs."""
     n = F.col(name)
     part = lambda i: F.get(F.col("_parts"), F.lit(i))
-    compact = F.replace(part(0), F.lit("-"), F.lit(""))
+    compact = F.when(F.size("_parts") == 6, F.replace(part(0), F.lit("-"), F.lit("")))
     return (
-        files.withColumn(
-            "_parts", _fields(n, NAME_GRAMMAR, ["$1", "$2", "$3", "$4", "$5", "$6"])
-        )
+        files.withColumn("_parts", _rewritten(n, NAME_GRAMMAR, 6))
         .withColumns({
             "date": F.concat_ws(
                 "-",
@@ -205,13 +220,11 @@ def with_path_keys(files: DataFrame, path: str = "path") -> DataFrame:
     Paths outside `<station>/continuous/YYYY/MM/DD/` get NULL keys.
     """
     p = F.col(path)
-    parts = _fields(p, PATH_GRAMMAR, ["$1", "$2-$3-$4"])
-    return (
-        files.withColumn("_keys", parts)
-        .withColumns({
-            "name": base_name(p),
-            "station_dir": F.get(F.col("_keys"), F.lit(0)),
-            "day": F.get(F.col("_keys"), F.lit(1)).try_cast("date"),
-        })
-        .drop("_keys")
-    )
+    tail = F.substring_index(p, "/", -6)
+    in_day_folder = F.rlike(tail, F.lit(DAY_FOLDER))
+    ymd = F.substring_index(F.substring_index(tail, "/", 5), "/", -3)
+    return files.withColumns({
+        "name": base_name(p),
+        "station_dir": F.when(in_day_folder, F.substring_index(tail, "/", 1)),
+        "day": F.when(in_day_folder, F.replace(ymd, F.lit("/"), F.lit("-"))).try_cast("date"),
+    })

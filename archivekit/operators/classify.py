@@ -147,29 +147,36 @@ def archive_level(files: DataFrame, mode: str = "content", levels: int = 3) -> D
 def _token_counts(files: DataFrame, params: Params) -> DataFrame:
     """Files per station-day and station token, for the day's own family.
 
-    Tokens are counted for both families first; the family of the day is then
-    joined to the counts, not to the files.
+    One pass counts files by the token each family would see in them and by
+    extension; the family of the day comes out of the same counts.
     """
     name = F.col("name")
-    token = {
-        fam: F.when(~F.rlike(name, F.lit(params.ignore(fam))), N.station_token(name, fam))
-        for fam in KNOWN_RECORDERS
-    }
-    counts = (
-        files.select(
-            *DAY,
-            F.explode(F.array(*[
-                F.struct(F.lit(fam).alias("recorder"), token[fam].alias("token"))
-                for fam in KNOWN_RECORDERS
-            ])).alias("t"),
+
+    def token(family: str):
+        text = N.station_token(name, family)
+        return F.when(
+            ~F.rlike(name, F.lit(params.ignore(family))) & N.is_station_token(text), text
         )
-        .select(*DAY, "t.recorder", "t.token")
-        .filter(N.is_station_token(F.col("token")))
-        .groupBy(*DAY, "recorder", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
+
+    groups = files.groupBy(
+        *DAY,
+        token("echo").alias("echo_token"),
+        token("gecko").alias("gecko_token"),
+        N.family_of(name).alias("family"),
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+    of = lambda family: F.sum(F.when(F.col("family") == family, F.col("n")).otherwise(0))
+    counts = groups.groupBy(*DAY).agg(of("echo").alias("n_dmx"), of("gecko").alias("n_ms"))
+    counts = counts.withColumn("n_total", F.col("n_dmx") + F.col("n_ms"))
+    types = carry_type(decide_type(counts, params), params, reset="day")
+    seen = F.when(F.col("recorder") == "echo", F.col("echo_token")).otherwise(F.col("gecko_token"))
+    return (
+        groups.join(types.select(*DAY, "recorder"), DAY)
+        .withColumn("token", seen)
+        .filter(F.col("token").isNotNull())
+        .groupBy(*DAY, "token")
+        .agg(F.sum("n").alias("n"))
     )
-    types = recorder_type(files, params, reset="day").select(*DAY, "recorder")
-    return counts.join(types, [*DAY, "recorder"], "left_semi").drop("recorder")
 
 
 def _best(value: str) -> F.Column:

@@ -111,17 +111,19 @@ def select_near_complete_v0(files: DataFrame, params: Params = Params()) -> Data
 
 # --- per-minute rules ------------------------------------------------------
 
-def _with_minute(files: DataFrame) -> DataFrame:
+def with_minute(files: DataFrame) -> DataFrame:
     """Add `hhmm`, `kind` and `style`; names without a minute are left out."""
-    return (
-        N.parse_name(files)
-        .withColumn("kind", N.data_kind(F.col("name")))
-        .filter(F.col("hhmm").isNotNull())
-    )
+    name = F.col("name")
+    return files.withColumns({
+        "hhmm": N.hhmm(name), "kind": N.data_kind(name), "style": N.style(name),
+    }).filter(F.col("hhmm").isNotNull())
 
 
 def patch_minutes(local: DataFrame, others: DataFrame, params: Params = Params()) -> DataFrame:
-    """`local`, plus those `others` whose minute no local file covers."""
+    """`local`, plus those `others` whose minute no local file covers.
+
+    Both as from `with_minute`.
+    """
     covered = local.select(*MINUTE).distinct()
     return local.unionByName(attach(others, covered, MINUTE, ["path"], params, "left_anti"))
 
@@ -133,10 +135,10 @@ def select_per_minute(
 
     `grid=True` also drops triggered names and minutes outside 0000..2359.
     """
-    minutes = _with_minute(with_extensions(files, "minute"))
+    minutes = with_minute(with_extensions(files, "minute"))
     if grid:
         minutes = minutes.filter(
-            ~F.col("is_trig") & N.minute_of_day(F.col("hhmm")).isNotNull()
+            ~N.is_triggered(F.col("name")) & N.minute_of_day(F.col("hhmm")).isNotNull()
         )
     is_local = F.col("style") == "underscored"
     return patch_minutes(minutes.filter(is_local), minutes.filter(~is_local), params)
@@ -148,7 +150,7 @@ def select_larger(files: DataFrame, params: Params = Params()) -> DataFrame:
     The rank filter is applied within each input partition first, so a busy
     minute reaches the shuffle as one row per partition.
     """
-    minutes = _with_minute(with_extensions(files, "minute"))
+    minutes = with_minute(with_extensions(files, "minute"))
     order = Window.partitionBy(*MINUTE).orderBy(
         F.desc("length"),
         F.when(F.col("style") == "underscored", 0).otherwise(1),
@@ -253,8 +255,10 @@ def select_cascade(
     """Files chosen by the rule of their day (see `cascade_plan`)."""
     valid = valid_files(files, family, params)
     facts = _cascade_facts(valid, params)
-    candidates = N.parse_name(valid).withColumns({
-        "kind": N.data_kind(F.col("name")), "stamp": _stamp_of_local(F.col("name")),
+    name = F.col("name")
+    candidates = valid.withColumns({
+        "hhmm": N.hhmm(name), "kind": N.data_kind(name), "style": N.style(name),
+        "stamp": _stamp_of_local(name),
     })
     rule = F.col("rule")
     is_local, is_spaced = F.col("style") == "underscored", F.col("style") == "spaced"
@@ -285,12 +289,8 @@ def select_cascade(
 
 def minutes_present(files: DataFrame) -> DataFrame:
     """Minutes covered on each station-day, as a set of at most 1440 numbers."""
-    minute = N.minute_of_day(F.col("hhmm"))
-    return (
-        N.parse_name(files)
-        .groupBy(*DAY)
-        .agg(F.collect_set(minute).alias("minutes"))
-    )
+    minute = N.minute_of_day(N.hhmm(F.col("name")))
+    return files.groupBy(*DAY).agg(F.collect_set(minute).alias("minutes"))
 
 
 def missing_minutes(files: DataFrame) -> DataFrame:

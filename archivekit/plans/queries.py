@@ -288,8 +288,7 @@ def select_cascade(spark, folder):
 
 @query
 def patch_minutes(spark, folder):
-    valid = N.parse_name(select.valid_files(_all(spark, folder), "echo", SCALED))
-    valid = valid.withColumn("kind", N.data_kind(F.col("name")))
+    valid = select.with_minute(select.valid_files(_all(spark, folder), "echo", SCALED))
     return select.patch_minutes(
         valid.filter(_local()), valid.filter(~_local()), SCALED
     ).select(*FILE)

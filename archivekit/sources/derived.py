@@ -61,30 +61,33 @@ def _folder() -> Column:
     )
 
 
-def files(events: DataFrame, ancillary: bool = False) -> DataFrame:
-    """File listing: path, length, modified. With `ancillary`, also junk names."""
-    named = _named(events)
-    listing = named.select(
-        F.concat(_folder(), _file_name()).alias("path"),
-        (F.round(F.col("value") * 100) + 1).cast("bigint").alias("length"),
-        F.col("ts").cast("timestamp").alias("modified"),
-    )
-    if not ancillary:
-        return listing
-    kind = F.col("event_id") % 3
-    suffix = (
-        F.when(kind == 0, ".ss").when(kind == 1, ".station.xml").otherwise("_CHZ.mseed.zip")
-    )
-    extra = named.filter(F.col("event_id") % 50 == 0).select(
-        F.concat(
-            _folder(),
-            F.concat_ws(" ", F.col("day").cast("string"), "hhmm", "ss",
-                        F.concat("token", suffix)),
-        ).alias("path"),
-        F.lit(100).cast("bigint").alias("length"),
+def _listed(file_name: Column, length: Column) -> Column:
+    return F.struct(
+        F.concat(_folder(), file_name).alias("path"),
+        length.cast("bigint").alias("length"),
         F.col("ts").cast("timestamp").alias("modified"),
     )
-    return listing.unionByName(extra)
+
+
+def files(events: DataFrame, ancillary: bool = False) -> DataFrame:
+    """File listing: path, length, modified. With `ancillary`, also junk names.
+
+    Rows come out of a generator, so later steps see plain columns instead of
+    working the names out again for every predicate.
+    """
+    minute_file = _listed(_file_name(), F.round(F.col("value") * 100) + 1)
+    listed = F.array(minute_file)
+    if ancillary:
+        kind = F.col("event_id") % 3
+        suffix = (
+            F.when(kind == 0, ".ss").when(kind == 1, ".station.xml").otherwise("_CHZ.mseed.zip")
+        )
+        junk = F.concat_ws(
+            " ", F.col("day").cast("string"), "hhmm", "ss", F.concat("token", suffix)
+        )
+        both = F.array(minute_file, _listed(junk, F.lit(100)))
+        listed = F.when(F.col("event_id") % 50 == 0, both).otherwise(listed)
+    return _named(events).select(F.explode(listed).alias("file")).select("file.*")
 
 
 def records(events: DataFrame) -> DataFrame:
@@ -93,26 +96,27 @@ def records(events: DataFrame) -> DataFrame:
     six = F.array(*[F.lit(c) for c in ("DLZ", "DLN", "DLE", "DNZ", "DNN", "DNE")])
     eid = F.col("event_id")
     n_samples = (F.lit(100) * (1 + eid % 120)).cast("bigint")
+    record = F.struct(
+        F.lit("AB").alias("net"),
+        F.col("station_dir").alias("sta"),
+        F.lit("60").alias("loc"),
+        F.when(F.col("station_dir") == "ST3", F.get(three, (eid % 3).cast("int")))
+        .otherwise(F.get(six, (eid % 6).cast("int")))
+        .alias("cha"),
+        F.col("ts").alias("start_ts"),
+        F.timestamp_add(
+            "SECOND", F.floor(n_samples / 100).cast("int"), F.col("ts")
+        ).alias("end_ts"),
+        n_samples.alias("n_samples"),
+        F.lit(100.0).alias("rate"),
+        F.encode("props", "UTF-8").alias("payload"),
+        F.concat(_folder(), _file_name()).alias("src_path"),
+    )
     copies = F.when(eid % 7 == 0, 2).otherwise(1)
     return (
         _named(events)
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
-        .select(
-            F.lit("AB").alias("net"),
-            F.col("station_dir").alias("sta"),
-            F.lit("60").alias("loc"),
-            F.when(F.col("station_dir") == "ST3", F.get(three, (eid % 3).cast("int")))
-            .otherwise(F.get(six, (eid % 6).cast("int")))
-            .alias("cha"),
-            F.col("ts").alias("start_ts"),
-            F.timestamp_add(
-                "SECOND", F.floor(n_samples / 100).cast("int"), F.col("ts")
-            ).alias("end_ts"),
-            n_samples.alias("n_samples"),
-            F.lit(100.0).alias("rate"),
-            F.encode("props", "UTF-8").alias("payload"),
-            F.concat(_folder(), _file_name()).alias("src_path"),
-        )
+        .select(F.explode(F.array_repeat(record, copies)).alias("record"))
+        .select("record.*")
     )
 
 
