@@ -42,40 +42,30 @@ def sort_records(records: DataFrame) -> DataFrame:
 
 
 def record_positions(records: DataFrame) -> DataFrame:
-    """Position of each record in its stream's order.
+    """Position of each record in its stream's day, by end and start.
 
-    A long stream is numbered minute by minute: counts per minute give each
-    minute its offset, and rows are ranked only within their minute.
+    Rows are ranked within their minute only; counts per minute (a window of a
+    day's 1440 minutes) give each minute its offset.
     """
-    minute = F.date_trunc("minute", F.col("end_ts"))
-    rows = records.withColumn("_minute", minute)
-    counts = rows.groupBy(*IDENTITY, "_minute").agg(F.count(F.lit(1)).alias("_n"))
-    # Running sum in two steps, so no window holds more than a stream's days
-    # or a day's 1440 minutes.
-    counts = counts.withColumn("_day", F.col("_minute").cast("date"))
-    per_day = counts.groupBy(*IDENTITY, "_day").agg(F.sum("_n").alias("_day_n"))
-    before = Window.partitionBy(*IDENTITY).orderBy("_day").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    per_day = per_day.select(
-        *IDENTITY, "_day", F.coalesce(F.sum("_day_n").over(before), F.lit(0)).alias("_before_day")
-    )
-    within = Window.partitionBy(*IDENTITY, "_day").orderBy("_minute").rowsBetween(
+    rows = records.withColumns({
+        "_day": F.col("start_ts").cast("date"), "_minute": F.date_trunc("minute", "end_ts"),
+    })
+    bucket = [*IDENTITY, "_day", "_minute"]
+    before = Window.partitionBy(*IDENTITY, "_day").orderBy("_minute").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
-        counts.withColumn("_before_minute", F.coalesce(F.sum("_n").over(within), F.lit(0)))
-        .join(per_day, [*IDENTITY, "_day"])
-        .select(*IDENTITY, "_minute", (F.col("_before_day") + F.col("_before_minute")).alias("_offset"))
-    )
-    in_minute = Window.partitionBy(*IDENTITY, "_minute").orderBy(
-        "end_ts", "start_ts", "n_samples"
+        rows.groupBy(*bucket)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .drop("_n")
     )
+    in_minute = Window.partitionBy(*bucket).orderBy("end_ts", "start_ts", "n_samples")
     return (
         rows.withColumn("_rank", F.row_number().over(in_minute))
-        .join(offsets, [*IDENTITY, "_minute"])
+        .join(offsets, bucket)
         .withColumn("position", F.col("_offset") + F.col("_rank"))
-        .drop("_minute", "_rank", "_offset")
+        .drop("_day", "_minute", "_rank", "_offset")
     )
 
 

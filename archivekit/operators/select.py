@@ -176,22 +176,20 @@ def select_by_stamp(
     files: DataFrame, params: Params = Params(), literal: bool = False
 ) -> DataFrame:
     """Local files of exactly full days, else those of every common enough stamp."""
-    # NULL (no stamp) is a group of its own here, taken on full days only.
-    blank = F.lit("")
-    counts = stamp_counts(files, "underscored", literal)
-    totals = counts.groupBy(*DAY).agg(F.sum("n").alias("total"))
-    kept = (
-        counts.join(totals, DAY)
-        .filter(
-            (F.col("total") == params.expected)
-            | ((F.col("n") >= params.stamp_min) & F.col("stamp").isNotNull())
+    common = (F.col("n") >= params.stamp_min) & F.col("stamp").isNotNull()
+    days = (
+        stamp_counts(files, "underscored", literal)
+        .groupBy(*DAY)
+        .agg(
+            (F.sum("n") == params.expected).alias("full"),
+            F.collect_set(F.when(common, F.col("stamp"))).alias("common"),  # at most 100
         )
-        .select(*DAY, F.coalesce("stamp", blank).alias("stamp_key"))
     )
-    stamped = _stamped(files, literal).withColumn("stamp_key", F.coalesce("stamp", blank))
-    return attach(
-        stamped, kept, [*DAY, "stamp_key"], ["path"], params, "left_semi"
-    ).drop("stamp_key")
+    return (
+        attach(_stamped(files, literal), days, DAY, ["path"], params)
+        .filter(F.col("full") | F.array_contains("common", F.col("stamp")))
+        .drop("full", "common")
+    )
 
 
 def _about_full(n: Column, params: Params) -> Column:
@@ -269,20 +267,27 @@ def select_cascade(
     )
     to_patch = rule.isin("patched", "stamps_patched")
 
-    routed = attach(candidates, facts, DAY, ["path"], params).withColumn(
-        "route",
-        F.when(local_kept | (is_spaced & (rule == "telemetered")), "keep")
-        .when(is_spaced & to_patch & F.col("hhmm").isNotNull(), "patch"),
-    ).drop("stamps")
     # Minutes the kept local files cover, from one row per minute and stamp.
-    covered = attach(
-        candidates.filter(is_local).select(*MINUTE, "style", "stamp").distinct(),
-        facts.filter(to_patch), DAY, ["hhmm", "stamp"], params,
-    ).filter(local_kept).select(*MINUTE).distinct()
-    patches = attach(
-        routed.filter(F.col("route") == "patch"), covered, MINUTE, ["path"], params, "left_anti"
+    covered = (
+        attach(
+            candidates.filter(is_local).select(*MINUTE, "style", "stamp").distinct(),
+            facts.filter(to_patch), DAY, ["hhmm", "stamp"], params,
+        )
+        .filter(local_kept)
+        .select(*MINUTE)
+        .distinct()
+        .withColumn("covered", F.lit(True))
+    )
+    routed = (
+        attach(candidates, facts, DAY, ["path"], params)
+        .withColumn("keep", local_kept | (is_spaced & (rule == "telemetered")))
+        .filter(F.col("keep") | (is_spaced & to_patch & F.col("hhmm").isNotNull()))
+    )
+    return (
+        attach(routed, covered, MINUTE, ["path"], params, "left")
+        .filter(F.col("keep") | F.col("covered").isNull())
+        .drop("keep", "covered", "stamps")
     )
-    return routed.filter(F.col("route") == "keep").unionByName(patches).drop("route")
 
 
 # --- gaps ------------------------------------------------------------------

@@ -417,7 +417,7 @@ _BODIES = {
     "choose_files": f"SELECT {_FILE}, recorder, keep FROM chosen",
     "dedup_records": f"SELECT {_KEY}, rate, src_path FROM unique_records",
     "sorted_records": f"""
-        SELECT {_KEY}, row_number() OVER (PARTITION BY net, sta, loc, cha
+        SELECT {_KEY}, row_number() OVER (PARTITION BY net, sta, loc, cha, CAST(start_ts AS DATE)
                        ORDER BY end_ts, start_ts, n_samples) AS position FROM unique_records""",
     "stream_inventory": """
         SELECT stream_id, min(start_ts) AS start_ts, max(end_ts) AS end_ts, count(*) AS records,

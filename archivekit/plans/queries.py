@@ -40,7 +40,13 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _files(spark: SparkSession, folder: str, ancillary: bool = False) -> DataFrame:
-    return N.with_path_keys(derived.files(_events(spark, folder), ancillary))
+    """The listing with its keys as plain columns, as a stored catalog has them.
+
+    The generator keeps Catalyst from copying the parsing of paths into every
+    predicate on `name`, `station_dir` and `day`.
+    """
+    keyed = N.with_path_keys(derived.files(_events(spark, folder), ancillary))
+    return keyed.select(F.inline(F.array(F.struct(*keyed.columns))))
 
 
 def _all(spark: SparkSession, folder: str) -> DataFrame:

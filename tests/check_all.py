@@ -17,7 +17,7 @@ if __name__ == "__main__":
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
     spark = get_session("check", **{
-        "spark.master": "local[8]", "spark.ui.enabled": "false",
+        "spark.master": "local[8]", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g",
     })
     spark.sparkContext.setLogLevel("ERROR")
