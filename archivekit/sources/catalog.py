@@ -14,8 +14,9 @@ from archivekit.functions import streams as S
 def scan_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """Regular files below `root`. Contents are never read: the scan prunes them.
 
-    Spark's listing leaves out empty files and names starting with `_` or `.`;
-    a listing from elsewhere with the same columns works as well.
+    Spark's listing passes through the driver and leaves out empty files and
+    names starting with `_` or `.`. It suits a station-year; `scan_day_folders`
+    lists any number of days inside tasks.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
@@ -25,11 +26,51 @@ def scan_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     )
 
 
-def catalog(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Files inside day folders, with name, station folder and day."""
-    return N.with_path_keys(scan_files(spark, root, glob)).filter(
-        F.col("day").isNotNull()
+def scan_day_folders(
+    spark: SparkSession, root: str, stations: Sequence[str], start: str, end: str
+) -> DataFrame:
+    """Files of the day folders of `stations` from `start` to `end`, listed in tasks.
+
+    One row per possible day folder is spread over the cluster and each task
+    lists its own folders, so names never pass through the driver. Folders that
+    do not exist give no rows.
+    """
+    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    folders = (
+        spark.createDataFrame([(s,) for s in stations], "station string")
+        .select("station", F.explode(days).alias("day"))
+        .select(F.concat_ws(
+            "/", "station", F.lit("continuous"), F.date_format("day", "yyyy/MM/dd")
+        ).alias("folder"))
     )
+    # A fixed number of tasks: so little data would be merged into one otherwise.
+    tasks = spark.sparkContext.defaultParallelism * 4
+
+    def list_folders(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for folder in batch["folder"]:
+                found = store.get_file_info(
+                    fs.FileSelector(f"{base}/{folder}", allow_not_found=True)
+                )
+                files = [i for i in found if i.type == fs.FileType.File]
+                yield pd.DataFrame({
+                    "path": [f"{root}/{folder}/{i.base_name}" for i in files],
+                    "length": [i.size for i in files],
+                    "modified": pd.to_datetime([i.mtime for i in files], utc=True),
+                }).astype({"path": "object", "length": "int64"})
+
+    return folders.repartition(tasks, "folder").mapInPandas(
+        list_folders, "path string, length bigint, modified timestamp"
+    )
+
+
+def catalog(listing: DataFrame) -> DataFrame:
+    """Files inside day folders, with name, station folder and day."""
+    return N.with_path_keys(listing).filter(F.col("day").isNotNull())
 
 
 def write_catalog(files: DataFrame, path: str, mode: str = "overwrite") -> None:

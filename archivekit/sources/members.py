@@ -7,7 +7,6 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from archivekit.functions import names as N
-from archivekit.operators.lookup import attach
 from archivekit.params import Params
 
 MEMBER_SCHEMA = "path string, member string, member_size bigint, content binary"
@@ -17,16 +16,22 @@ DATA_MEMBERS = (".ms", ".mseed", ".dmx")
 
 
 def load_contents(
-    spark: SparkSession, chosen: DataFrame, folders: Sequence[str], params: Params = Params()
+    spark: SparkSession, chosen: DataFrame, folders: Sequence[str], family: str,
+    params: Params = Params(),
 ) -> DataFrame:
-    """Bytes of the `chosen` paths.
+    """Bytes of the `chosen` paths, all of one recorder family.
 
     A semi-join cannot prune files, so only the given day `folders` are opened;
-    ignored names there are dropped before their bytes are read.
+    names the family ignores are dropped before their bytes are read, by a
+    predicate on the file name alone.
     """
-    files = spark.read.format("binaryFile").load(list(folders)).select("path", "content")
-    return attach(files, chosen.select("path").distinct(), ["path"], ["path"],
-                  params.with_(slices=1), "left_semi")
+    name = F.col("_metadata.file_name")  # spaces are percent-encoded here
+    files = (
+        spark.read.format("binaryFile").load(list(folders))
+        .filter(N.has_extension(name, family) & ~F.rlike(name, F.lit(params.ignore(family))))
+        .select("path", "content")
+    )
+    return files.join(chosen.select("path").distinct(), "path", "left_semi")
 
 
 def expand_members(

@@ -40,25 +40,43 @@ def tree(tmp_path_factory):
 
 
 def test_listing_reads_no_contents(spark, tree):
-    files = catalog.catalog(spark, f"file:{tree}")
+    files = catalog.catalog(catalog.scan_files(spark, f"file:{tree}"))
     plan = files._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]
     assert names(files) == ["2021-09-26 0004_RDK1.ms.zip", "2021-09-26 0006 07 RDK1.ss", "20210926_0005_RDK1.ms.zip"]
     assert {(r["station_dir"], r["day"]) for r in files.collect()} == {("RDK1", date(2021, 9, 26))}
 
 
+def test_listing_inside_tasks(spark, tree):
+    files = catalog.catalog(catalog.scan_day_folders(
+        spark, str(tree), ["RDK1", "NONE"], "2021-09-20", "2021-09-30"))
+    # This listing sees the empty file too.
+    assert names(files) == [
+        "2021-09-26 0004_RDK1.ms.zip", "2021-09-26 0006 07 RDK1.ss",
+        "2021-09-26 0007 07 RDK1.ms", "20210926_0005_RDK1.ms.zip"]
+    sizes = {r["name"]: r["length"] for r in files.collect()}
+    assert sizes["2021-09-26 0007 07 RDK1.ms"] == 0 and sizes["2021-09-26 0006 07 RDK1.ss"] == 1
+    assert files.filter("modified > timestamp'2020-01-01'").count() == 4
+
+
+def test_record_table_is_read_under_a_fixed_schema(spark, tmp_path):
+    record_table(spark, [record("AB.STAA.60.DLZ", datetime(2023, 1, 1), 100)]).write.parquet(str(tmp_path / "r"))
+    df = catalog.read_records(spark, str(tmp_path / "r"))
+    assert df.schema == schemas.RECORDS and df.count() == 1
+
+
 def test_members_of_chosen_files(spark, tree):
-    files = catalog.catalog(spark, f"file:{tree}")
+    files = catalog.catalog(catalog.scan_files(spark, f"file:{tree}"))
     chosen = archive.choose_files(files, archive.archive_days(files, P), P)
     folder = f"file:{tree}/RDK1/continuous/2021/09/26"
-    got = members.expand_members(members.load_contents(spark, chosen, [folder], P))
+    got = members.expand_members(members.load_contents(spark, chosen, [folder], "gecko", P))
     rows = members.member_order(got).collect()
     assert sorted((r["member"], r["member_size"]) for r in rows) == [
         ("2021-09-26 0004_RDK1.ms", 3), ("20210926_0005_RDK1.ms", 4)]
 
 
 def test_catalog_and_manifest_round_trip(spark, tree, tmp_path):
-    files = catalog.catalog(spark, f"file:{tree}")
+    files = catalog.catalog(catalog.scan_files(spark, f"file:{tree}"))
     catalog.write_catalog(files, str(tmp_path / "catalog"))
     again = catalog.read_catalog(spark, str(tmp_path / "catalog"))
     assert names(again) == names(files)
