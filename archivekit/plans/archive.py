@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from archivekit import schemas
 from archivekit.functions import names as N
 from archivekit.operators.classify import KNOWN_RECORDERS, carry_type, decide_type
 from archivekit.operators.lookup import attach, attach_small
@@ -143,6 +146,7 @@ def run_archive(
     end=None,
     reset: str | None = None,
     skip_present: bool = True,
+    folders: Sequence[str] = tuple(schemas.SDS_PARTITIONS),
 ) -> DataFrame:
     """File the records of all station-days from `start` to `end`.
 
@@ -182,7 +186,7 @@ def run_archive(
         facts.join(go, DAY, "left_semi").join(day_rules(channels, params), DAY), "ready"
     )
     filed = rename_by_day_rules(choose_records(records, ready, params))
-    write_sds(filed.select(*records.columns), sds_root, year_span(narrow))
+    write_sds(filed.select(*records.columns), sds_root, year_span(narrow), folders)
 
     if run_log:
         write_run_log(

@@ -83,13 +83,18 @@ def year_span(records: DataFrame) -> list[int]:
 
 
 def write_sds(
-    records: DataFrame, root: str, years: Sequence[int] | None = None
+    records: DataFrame,
+    root: str,
+    years: Sequence[int] | None = None,
+    folders: Sequence[str] = tuple(schemas.SDS_PARTITIONS),
 ) -> None:
     """Make records unique and append those not filed yet.
 
     `years` limits the folders compared against; by default it is read off the
     records. Rebalancing by day file gives few files per folder and splits a
-    day file that holds too much.
+    day file that holds too much. Millions of day folders are slow to list: a
+    large archive may leave `doy` out of `folders`; files then share the folder
+    of their channel and year, and `scan_sds` reads either layout.
     """
     spark = records.sparkSession
     years = year_span(records) if years is None else list(years)
@@ -102,7 +107,7 @@ def write_sds(
         .select(*schemas.SDS.fieldNames())
         .hint("rebalance", *[F.col(c) for c in schemas.SDS_PARTITIONS])
         .sortWithinPartitions(*schemas.SDS_PARTITIONS, "loc", "end_ts", "start_ts")
-        .write.mode("append").partitionBy(*schemas.SDS_PARTITIONS).parquet(root)
+        .write.mode("append").partitionBy(*folders).parquet(root)
     )
 
 
@@ -113,10 +118,11 @@ def rehome_archive(
     rules: str | list[RenameRule],
     years: Sequence[int] | None = None,
     doy: int | None = None,
+    folders: Sequence[str] = tuple(schemas.SDS_PARTITIONS),
 ) -> None:
     """Copy a filed archive, made unique and renamed, into another one."""
     filed = scan_sds(spark, source, years)
     if doy is not None:
         filed = filed.filter(F.col("doy") == doy)
     records = filed.select(*schemas.RECORDS.fieldNames())
-    write_sds(apply_wildcard_rename(records, rules), target, years)
+    write_sds(apply_wildcard_rename(records, rules), target, years, folders)

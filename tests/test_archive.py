@@ -92,6 +92,16 @@ def test_numeric_station_names_stay_text(spark, tmp_path):
     assert (row["sta"], row["loc"], row["doy"]) == ("0012", "00", 1)
 
 
+def test_channel_year_folders_hold_the_same_archive(spark, tmp_path):
+    root, t = str(tmp_path / "sds"), datetime(2023, 1, 1)
+    recs = record_table(spark, [record("AB.STAA.00.CHZ", t + timedelta(hours=i), 100) for i in range(48)])
+    for _ in range(2):
+        sink.write_sds(recs, root, folders=["year", "net", "sta", "cha"])
+    filed = catalog.scan_sds(spark, root, years=[2023])
+    assert {r["doy"]: r["count"] for r in filed.groupBy("doy").count().collect()} == {1: 24, 2: 24}
+    assert filed.schema["sta"].dataType.simpleString() == "string"
+
+
 @pytest.fixture(scope="module")
 def small_archive(spark):
     """Three days of one station: complete local, mixed, and nothing usable."""
