@@ -1,20 +1,21 @@
 """Choose the files of each station-day that go into the archive.
 
-Per-day decisions are taken on aggregates (one row per day, stamp or minute)
-and joined back to the files; files are never gathered per day.
+Decisions are taken on aggregates with a few rows per station-day and joined back
+to the files; files are never gathered per day.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from archivekit.functions import minutes as M
 from archivekit.functions import names as N
 from archivekit.operators.lookup import attach
 from archivekit.operators.stamps import stamp_counts
 from archivekit.params import Params
 
 DAY = ["station_dir", "day"]
-MINUTE = [*DAY, "hhmm", "kind"]
+SIDE = [*DAY, "kind"]
 
 
 # --- candidates ------------------------------------------------------------
@@ -112,20 +113,28 @@ def select_near_complete_v0(files: DataFrame, params: Params = Params()) -> Data
 # --- per-minute rules ------------------------------------------------------
 
 def with_minute(files: DataFrame) -> DataFrame:
-    """Add `hhmm`, `kind` and `style`; names without a minute are left out."""
+    """Add `minute`, `kind` and `style`; names without a time of day are left out."""
     name = F.col("name")
     return files.withColumns({
-        "hhmm": N.hhmm(name), "kind": N.data_kind(name), "style": N.style(name),
-    }).filter(F.col("hhmm").isNotNull())
+        "minute": N.minute_of_day(N.hhmm(name)),
+        "kind": N.data_kind(name),
+        "style": N.style(name),
+    }).filter(F.col("minute").isNotNull())
 
 
 def patch_minutes(local: DataFrame, others: DataFrame, params: Params = Params()) -> DataFrame:
     """`local`, plus those `others` whose minute no local file covers.
 
-    Both as from `with_minute`.
+    Both as from `with_minute`. What `local` covers travels as one set of minutes
+    per station-day and kind.
     """
-    covered = local.select(*MINUTE).distinct()
-    return local.unionByName(attach(others, covered, MINUTE, ["path"], params, "left_anti"))
+    covered = local.groupBy(*SIDE).agg(M.collect_minutes(F.col("minute")).alias("covered"))
+    lacking = (
+        attach(others, covered, SIDE, ["path"], params, "left")
+        .filter(~M.has_minute(F.col("covered"), F.col("minute")))
+        .drop("covered")
+    )
+    return local.unionByName(lacking)
 
 
 def select_per_minute(
@@ -133,13 +142,11 @@ def select_per_minute(
 ) -> DataFrame:
     """Per minute all local files if there are any, else all others.
 
-    `grid=True` also drops triggered names and minutes outside 0000..2359.
+    `grid=True` also drops triggered names.
     """
     minutes = with_minute(with_extensions(files, "minute"))
     if grid:
-        minutes = minutes.filter(
-            ~N.is_triggered(F.col("name")) & N.minute_of_day(F.col("hhmm")).isNotNull()
-        )
+        minutes = minutes.filter(~N.is_triggered(F.col("name")))
     is_local = F.col("style") == "underscored"
     return patch_minutes(minutes.filter(is_local), minutes.filter(~is_local), params)
 
@@ -151,7 +158,7 @@ def select_larger(files: DataFrame, params: Params = Params()) -> DataFrame:
     minute reaches the shuffle as one row per partition.
     """
     minutes = with_minute(with_extensions(files, "minute"))
-    order = Window.partitionBy(*MINUTE).orderBy(
+    order = Window.partitionBy(*SIDE, "minute").orderBy(
         F.desc("length"),
         F.when(F.col("style") == "underscored", 0).otherwise(1),
         "name",
@@ -200,11 +207,27 @@ def _stamp_of_local(name: Column) -> Column:
     return F.when(N.n_underscores(name) >= 3, N.stamp_underscored(name))
 
 
-def _cascade_facts(valid: DataFrame, params: Params) -> DataFrame:
+def _local_kept(style: Column, stamp: Column) -> Column:
+    """Local files a day's rule takes, given its `rule` and `stamps`."""
+    rule = F.col("rule")
+    return (style == "underscored") & (
+        rule.isin("local", "patched")
+        | (rule.isin("one_stamp", "stamps", "stamps_patched") & F.array_contains("stamps", stamp))
+    )
+
+
+def _cascade_groups(valid: DataFrame) -> DataFrame:
+    """Files and minutes of each station-day, style and stamp: all the rules need."""
     name = F.col("name")
-    groups = valid.groupBy(
+    return valid.groupBy(
         *DAY, N.style(name).alias("style"), _stamp_of_local(name).alias("stamp")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
+        M.collect_minutes(N.minute_of_day(N.hhmm(name))).alias("minutes"),
+    )
+
+
+def _cascade_days(groups: DataFrame, params: Params) -> DataFrame:
     n = F.col("n")
     local = F.col("style") == "underscored"
     stamped = local & F.col("stamp").isNotNull()
@@ -244,69 +267,60 @@ def cascade_plan(
     stamp of about a full day; stamps: too many, common stamps nearly make a
     day; stamps_patched: common stamps fall short; patched: too few local files.
     """
-    return _cascade_facts(valid_files(files, family, params), params).drop("stamps")
+    groups = _cascade_groups(valid_files(files, family, params))
+    return _cascade_days(groups, params).drop("stamps")
 
 
 def select_cascade(
     files: DataFrame, family: str = "echo", params: Params = Params()
 ) -> DataFrame:
-    """Files chosen by the rule of their day (see `cascade_plan`)."""
-    valid = valid_files(files, family, params)
-    facts = _cascade_facts(valid, params)
-    name = F.col("name")
-    candidates = valid.withColumns({
-        "hhmm": N.hhmm(name), "kind": N.data_kind(name), "style": N.style(name),
-        "stamp": _stamp_of_local(name),
-    })
-    rule = F.col("rule")
-    is_local, is_spaced = F.col("style") == "underscored", F.col("style") == "spaced"
-    local_kept = is_local & (
-        rule.isin("local", "patched")
-        | (rule.isin("one_stamp", "stamps", "stamps_patched")
-           & F.array_contains("stamps", F.col("stamp")))
-    )
-    to_patch = rule.isin("patched", "stamps_patched")
+    """Files chosen by the rule of their day (see `cascade_plan`).
 
-    # Minutes the kept local files cover, from one row per minute and stamp.
+    The day's rule and the minutes its kept local files cover reach the files
+    together, in one join.
+    """
+    valid = valid_files(files, family, params)
+    groups = _cascade_groups(valid)
+    days = _cascade_days(groups, params)
     covered = (
-        attach(
-            candidates.filter(is_local).select(*MINUTE, "style", "stamp").distinct(),
-            facts.filter(to_patch), DAY, ["hhmm", "stamp"], params,
-        )
-        .filter(local_kept)
-        .select(*MINUTE)
-        .distinct()
-        .withColumn("covered", F.lit(True))
+        groups.join(days, DAY)
+        .filter(_local_kept(F.col("style"), F.col("stamp")))
+        .groupBy(*DAY)
+        .agg(M.union_minutes(F.col("minutes")).alias("covered"))
     )
-    routed = (
-        attach(candidates, facts, DAY, ["path"], params)
-        .withColumn("keep", local_kept | (is_spaced & (rule == "telemetered")))
-        .filter(F.col("keep") | (is_spaced & to_patch & F.col("hhmm").isNotNull()))
+    name, rule = F.col("name"), F.col("rule")
+    minute = N.minute_of_day(N.hhmm(name))
+    patch = (
+        rule.isin("patched", "stamps_patched")
+        & minute.isNotNull()
+        & ~M.has_minute(F.col("covered"), minute)
     )
     return (
-        attach(routed, covered, MINUTE, ["path"], params, "left")
-        .filter(F.col("keep") | F.col("covered").isNull())
-        .drop("keep", "covered", "stamps")
+        attach(_styled(valid), days.join(covered, DAY, "left"), DAY, ["path"], params)
+        .filter(
+            _local_kept(F.col("style"), _stamp_of_local(name))
+            | ((F.col("style") == "spaced") & ((rule == "telemetered") | patch))
+        )
+        .drop("stamps", "covered")
     )
 
 
 # --- gaps ------------------------------------------------------------------
 
 def minutes_present(files: DataFrame) -> DataFrame:
-    """Minutes covered on each station-day, as a set of at most 1440 numbers."""
+    """Minutes covered on each station-day, as a set of minutes."""
     minute = N.minute_of_day(N.hhmm(F.col("name")))
-    return files.groupBy(*DAY).agg(F.collect_set(minute).alias("minutes"))
+    return files.groupBy(*DAY).agg(M.collect_minutes(minute).alias("minutes"))
 
 
 def missing_minutes(files: DataFrame) -> DataFrame:
     """Minutes of the day grid that no file covers, a row each."""
-    grid = F.sequence(F.lit(0), F.lit(1439))
     return minutes_present(files).select(
-        *DAY, F.explode(F.array_except(grid, F.col("minutes"))).alias("minute")
+        *DAY, F.explode(M.lacking_minutes(F.col("minutes"))).alias("minute")
     )
 
 
 def missing_minute_counts(files: DataFrame) -> DataFrame:
     return minutes_present(files).select(
-        *DAY, (F.lit(1440) - F.size("minutes")).alias("n_missing")
+        *DAY, (F.lit(M.MINUTES) - M.count_minutes(F.col("minutes"))).alias("n_missing")
     )
