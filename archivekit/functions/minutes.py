@@ -1,4 +1,4 @@
-"""Sets of minutes of the day as 23 words of 64 bits.
+"""Sets of minutes of the day as at most 23 words of 64 bits.
 
 A station-day's covered minutes fit one small row, so minute rules compare files
 with a fact about their day instead of joining minute by minute.
@@ -6,46 +6,48 @@ with a fact about their day instead of joining minute by minute.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 MINUTES = 1440
-_WORDS = -(-MINUTES // 64)
 
 
-def _bit(minute: Column) -> Column:
-    # A long value shifted by a column: only the SQL form takes one.
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), minute % 64)
+def word_of(minute: Column) -> Column:
+    return F.floor(minute / 64).cast("int")
 
 
-def collect_minutes(minute: Column) -> Column:
-    """Aggregate: the set of all minutes of a group; NULLs are left out."""
-    word = F.floor(minute / 64)
-    return F.array(*[
-        F.coalesce(F.bit_or(F.when(word == i, _bit(minute))), F.lit(0).cast("bigint"))
-        for i in range(_WORDS)
-    ])
+def bit_of(minute: Column) -> Column:
+    # Only the SQL form shifts by a column.
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), minute % 64)
 
 
-def union_minutes(words: Column) -> Column:
-    """Aggregate: the union of sets of minutes."""
-    return F.array(*[F.bit_or(F.get(words, F.lit(i))) for i in range(_WORDS)])
+def minute_words(rows: DataFrame, by: Sequence[str], minute: Column) -> DataFrame:
+    """Covered minutes of each group: a row per word in use (NULL for no minute)."""
+    return rows.groupBy(*by, word_of(minute).alias("word")).agg(
+        F.bit_or(bit_of(minute)).alias("bits")
+    )
 
 
-def has_minute(words: Column, minute: Column) -> Column:
-    """Is the minute in the set? False for a NULL set or minute."""
-    word = F.get(words, F.floor(minute / 64).cast("int"))
-    return F.coalesce(word.bitwiseAND(_bit(minute)) != 0, F.lit(False))
+def minute_sets(words: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """One set of minutes per group, from rows with `word` and `bits`."""
+    return (
+        words.filter(F.col("word").isNotNull())
+        .groupBy(*by, "word")
+        .agg(F.bit_or("bits").alias("bits"))
+        .groupBy(*by)
+        .agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias(name))
+    )
 
 
-def count_minutes(words: Column) -> Column:
-    total = F.lit(0)
-    for i in range(_WORDS):
-        total = total + F.bit_count(F.get(words, F.lit(i)))
-    return total
+def has_minute(minutes: Column, minute: Column) -> Column:
+    """Is the minute in the set? False for a NULL set or minute."""
+    word = F.try_element_at(minutes, word_of(minute))
+    return F.coalesce(word.bitwiseAND(bit_of(minute)) != 0, F.lit(False))
 
 
-def lacking_minutes(words: Column) -> Column:
+def lacking_minutes(minutes: Column) -> Column:
     """Minutes of the day outside the set, as an array."""
     return F.filter(
-        F.sequence(F.lit(0), F.lit(MINUTES - 1)), lambda m: ~has_minute(words, m)
+        F.sequence(F.lit(0), F.lit(MINUTES - 1)), lambda m: ~has_minute(minutes, m)
     )

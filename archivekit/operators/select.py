@@ -128,7 +128,8 @@ def patch_minutes(local: DataFrame, others: DataFrame, params: Params = Params()
     Both as from `with_minute`. What `local` covers travels as one set of minutes
     per station-day and kind.
     """
-    covered = local.groupBy(*SIDE).agg(M.collect_minutes(F.col("minute")).alias("covered"))
+    words = M.minute_words(local, SIDE, F.col("minute"))
+    covered = M.minute_sets(words, SIDE, "covered")
     lacking = (
         attach(others, covered, SIDE, ["path"], params, "left")
         .filter(~M.has_minute(F.col("covered"), F.col("minute")))
@@ -217,14 +218,18 @@ def _local_kept(style: Column, stamp: Column) -> Column:
 
 
 def _cascade_groups(valid: DataFrame) -> DataFrame:
-    """Files and minutes of each station-day, style and stamp: all the rules need."""
+    """Files and minutes of each station-day, style and stamp: all the rules need.
+
+    At most 23 rows per day, style and stamp, one for each word of minutes.
+    """
     name = F.col("name")
+    minute = N.minute_of_day(N.hhmm(name))
     return valid.groupBy(
-        *DAY, N.style(name).alias("style"), _stamp_of_local(name).alias("stamp")
-    ).agg(
-        F.count(F.lit(1)).alias("n"),
-        M.collect_minutes(N.minute_of_day(N.hhmm(name))).alias("minutes"),
-    )
+        *DAY,
+        N.style(name).alias("style"),
+        _stamp_of_local(name).alias("stamp"),
+        M.word_of(minute).alias("word"),
+    ).agg(F.count(F.lit(1)).alias("n"), F.bit_or(M.bit_of(minute)).alias("bits"))
 
 
 def _cascade_days(groups: DataFrame, params: Params) -> DataFrame:
@@ -232,7 +237,8 @@ def _cascade_days(groups: DataFrame, params: Params) -> DataFrame:
     local = F.col("style") == "underscored"
     stamped = local & F.col("stamp").isNotNull()
     common = stamped & (n >= params.stamp_min)
-    days = groups.groupBy(*DAY).agg(
+    stamps = groups.groupBy(*DAY, "style", "stamp").agg(F.sum("n").alias("n"))
+    days = stamps.groupBy(*DAY).agg(
         F.sum(F.when(local, n).otherwise(0)).alias("us"),
         F.sum(F.when(F.col("style") == "spaced", n).otherwise(0)).alias("sp"),
         F.max(F.when(stamped & _about_full(n, params), F.struct("n", "stamp"))).alias("full"),
@@ -282,12 +288,8 @@ def select_cascade(
     valid = valid_files(files, family, params)
     groups = _cascade_groups(valid)
     days = _cascade_days(groups, params)
-    covered = (
-        groups.join(days, DAY)
-        .filter(_local_kept(F.col("style"), F.col("stamp")))
-        .groupBy(*DAY)
-        .agg(M.union_minutes(F.col("minutes")).alias("covered"))
-    )
+    kept = groups.join(days, DAY).filter(_local_kept(F.col("style"), F.col("stamp")))
+    covered = M.minute_sets(kept, DAY, "covered")
     name, rule = F.col("name"), F.col("rule")
     minute = N.minute_of_day(N.hhmm(name))
     patch = (
@@ -307,20 +309,25 @@ def select_cascade(
 
 # --- gaps ------------------------------------------------------------------
 
-def minutes_present(files: DataFrame) -> DataFrame:
-    """Minutes covered on each station-day, as a set of minutes."""
-    minute = N.minute_of_day(N.hhmm(F.col("name")))
-    return files.groupBy(*DAY).agg(M.collect_minutes(minute).alias("minutes"))
+def _minutes_present(files: DataFrame) -> DataFrame:
+    return M.minute_words(files, DAY, N.minute_of_day(N.hhmm(F.col("name"))))
 
 
 def missing_minutes(files: DataFrame) -> DataFrame:
     """Minutes of the day grid that no file covers, a row each."""
-    return minutes_present(files).select(
+    words = _minutes_present(files)
+    # Days without any minute lack all of them: keep them with an empty word.
+    words = words.select(
+        *DAY, F.coalesce("word", F.lit(0)).alias("word"),
+        F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"),
+    )
+    return M.minute_sets(words, DAY, "minutes").select(
         *DAY, F.explode(M.lacking_minutes(F.col("minutes"))).alias("minute")
     )
 
 
 def missing_minute_counts(files: DataFrame) -> DataFrame:
-    return minutes_present(files).select(
-        *DAY, (F.lit(M.MINUTES) - M.count_minutes(F.col("minutes"))).alias("n_missing")
+    present = F.coalesce(F.sum(F.bit_count("bits")), F.lit(0))
+    return _minutes_present(files).groupBy(*DAY).agg(
+        (F.lit(M.MINUTES) - present).alias("n_missing")
     )

@@ -15,7 +15,7 @@ from archivekit.operators.select import near_complete_rule
 from archivekit.operators.workspace import stage
 from archivekit.params import Params
 from archivekit.sinks.archive import write_manifest, write_sds, year_span
-from archivekit.sinks.runlog import read_run_log, write_run_log
+from archivekit.sinks.runlog import day_lines, read_run_log, write_day_lines, write_run_log
 from archivekit.sources.catalog import between_days
 
 DAY = ["station_dir", "day"]
@@ -140,6 +140,7 @@ def run_archive(
     records: DataFrame,
     sds_root: str,
     run_log: str | None = None,
+    day_logs: str | None = None,
     manifest: str | None = None,
     params: Params = Params(),
     start=None,
@@ -198,4 +199,6 @@ def run_archive(
             ),
             run_log,
         )
+    if day_logs:
+        write_day_lines(day_lines(plan), day_logs)
     return plan

@@ -498,6 +498,12 @@ _BODIES = {
     "run_lines": """
         SELECT station_dir AS station, day,
                CAST(day AS VARCHAR) || ' | ' || recorder || ' | Status: ' || status AS line FROM day_status""",
+    "day_lines": """
+        SELECT station_dir AS station, day, unnest(range(5)) AS line_no,
+               unnest(['Processing day: ' || day, 'Detected recorder type: ' || recorder,
+                       'Selected files: ' || n_selected, 'Rename rules: ' || n_rules,
+                       'Status: ' || status]) AS line
+        FROM day_status""",
     "last_log_lines": "SELECT station, day, line_no, line FROM tail",
     "crash_report": """
         SELECT station, day, error, line_no, line FROM tail JOIN (

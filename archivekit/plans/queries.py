@@ -537,6 +537,11 @@ def run_lines(spark, folder):
     )
 
 
+@query
+def day_lines(spark, folder):
+    return runlog.day_lines(_plan(spark, folder))
+
+
 @query
 def last_log_lines(spark, folder):
     return runlog.last_lines(derived.log_lines(_events(spark, folder)), SCALED)

@@ -40,6 +40,25 @@ def run_lines(runs: DataFrame) -> DataFrame:
     )
 
 
+def day_lines(plan: DataFrame) -> DataFrame:
+    """Each station-day's own log, told from its plan row."""
+    say = lambda text, *cols: F.format_string(text, *cols)
+    lines = F.array(
+        say("Processing day: %s", F.col("day").cast("string")),
+        say("Detected recorder type: %s", "recorder"),
+        say("Selected files: %d", "n_selected"),
+        say("Rename rules: %d", "n_rules"),
+        say("Status: %s", "status"),
+    )
+    return plan.select(
+        F.col("station_dir").alias("station"), "day", F.posexplode(lines).alias("line_no", "line")
+    ).withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
+def write_day_lines(lines: DataFrame, path: str) -> None:
+    lines.select(*schemas.LOG_LINES.fieldNames()).write.mode("append").parquet(path)
+
+
 def run_summary(runs: DataFrame) -> DataFrame:
     return runs.groupBy("station", "status").agg(F.count(F.lit(1)).alias("n_days"))
 
@@ -61,8 +80,11 @@ def last_lines(log_lines: DataFrame, params: Params = Params()) -> DataFrame:
 def crash_report(
     runs: DataFrame, log_lines: DataFrame, params: Params = Params()
 ) -> DataFrame:
-    """Failed days with the last lines of their logs."""
-    failed = runs.filter(F.col("status") == "FAILED").select(
+    """Failed days with the last lines of their logs.
+
+    A day whose streams yield no rename rule counts as failed.
+    """
+    failed = runs.filter(F.col("status").isin("FAILED", "NO_RULES")).select(
         "station", "day", F.col("detail").alias("error")
     )
     return failed.join(last_lines(log_lines, params), ["station", "day"], "left")

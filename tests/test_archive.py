@@ -163,8 +163,14 @@ def test_sliced_joins_give_the_same_run(spark, small_archive, tmp_path):
 def test_days_without_rules_are_reported(spark, small_archive, tmp_path):
     files, recs = small_archive
     odd = recs.withColumn("cha", F.lit("DL1"))
-    plan = archive.run_archive(spark, files, odd, str(tmp_path / "sds"), params=P)
+    log, logs = str(tmp_path / "runs"), str(tmp_path / "logs")
+    plan = archive.run_archive(
+        spark, files, odd, str(tmp_path / "sds"), run_log=log, day_logs=logs, params=P)
     assert {r["day"].day: r["status"] for r in plan.collect()} == {24: "NO_RULES", 25: "NO_RULES", 26: "EMPTY"}
+    lines = spark.read.schema(schemas.LOG_LINES).parquet(logs)
+    report = runlog.crash_report(runlog.read_run_log(spark, log), lines, P.with_(tail_lines=2))
+    assert sorted((r["day"].day, r["line"]) for r in report.collect()) == [
+        (24, "Rename rules: 0"), (24, "Status: NO_RULES"), (25, "Rename rules: 0"), (25, "Status: NO_RULES")]
 
 
 def test_rehoming_renames_and_makes_unique(spark, tmp_path):

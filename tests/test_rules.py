@@ -164,6 +164,9 @@ def test_missing_minutes(spark):
     files = listing(spark, "STAA", DAY0, [us_echo("STAA", DAY0, m, "02") for m in minutes(1438, 1)])
     assert sorted(r["minute"] for r in select.missing_minutes(files).collect()) == [0, 1439]
     assert select.missing_minute_counts(files).first()["n_missing"] == 2
+    nothing = listing(spark, "STAA", DAY0, ["readme.txt"])
+    assert select.missing_minutes(nothing).count() == 1440
+    assert select.missing_minute_counts(nothing).first()["n_missing"] == 1440
 
 
 def test_three_streams_keep_their_accelerometers(spark):
