@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from archivekit import schemas
 from archivekit.functions import names as N
-from archivekit.functions import streams as S
 
 
 def scan_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -143,7 +142,3 @@ def scan_sds(
 def filed_days(sds: DataFrame) -> DataFrame:
     """Station-days present in the archive; needs partition columns only."""
     return sds.select("net", "sta", "year", "doy").distinct()
-
-
-def with_stream_id(records: DataFrame) -> DataFrame:
-    return records.withColumn("stream_id", S.stream_id())
