@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from archivekit.llm import neardup
+from archivekit.llm import bytebpe, neardup, piececount, shards, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,9 +18,60 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
 
 
+def op3_content_addressed_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages")).drop("record_length")
+
+
+def op4_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_digests(table(spark, folder, "documents"))
+
+
+def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """Token ids of whole texts and the bytes decoded from them, as counts and digests."""
+    import public_tokenizers
+
+    files = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = docs.select("doc_id", bytebpe.encode_udf(*files)("text").alias("ids"))
+    decoded = encoded.withColumn("decoded", bytebpe.decode_udf(*files)("ids"))
+    spelled = F.array_join(F.transform("ids", lambda x: x.cast("string")), " ")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(spelled, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_karmarkar_karp_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.shard_documents(table(spark, folder, "documents"), 24)
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = piececount.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    return counted.select("doc_id", n_bytes, "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_content_addressed_warc": op3_content_addressed_warc,
+    "op4_byte_level_bpe": op4_byte_level_bpe,
+    "op6_karmarkar_karp_sharding": op6_karmarkar_karp_sharding,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_content_addressed_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), d AS (
+            SELECT page_id, octet_length(payload) AS n, sha256(payload) AS digest FROM p
+        ), f AS (
+            SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM d
+        )
+        SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+               CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM f""",
+}
