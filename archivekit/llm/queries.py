@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivekit.llm import bytebpe, neardup, piececount, shards, warc
+from archivekit.llm import bytebpe, neardup, piececount, shards, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"), size=2, percent=80)
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.score_documents(docs, table(spark, folder, "labels")).drop("text")
+
+
 def op3_content_addressed_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages")).drop("record_length")
 
@@ -53,6 +58,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_content_addressed_warc": op3_content_addressed_warc,
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op6_karmarkar_karp_sharding": op6_karmarkar_karp_sharding,
