@@ -10,8 +10,10 @@ reach a target recall.
 
 Large nodes of close copies would hardly shrink. So each large node first compares
 its members with its smallest one, and once components are known, nodes that hold a
-single component are left: no link in them could join anything new. What is still
-large at the deepest level is compared in tiles. Nothing is capped.
+single component are left: no link in them could join anything new. A node whose
+members outside its main component are few compares those with everyone, which is
+linear in its size, and is done. What is still large at the deepest level is compared
+in tiles. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -108,11 +110,11 @@ def sets_udf(size: int) -> Column:
     return full
 
 
-def _agreeing(a: str, b: str) -> Column:
+def _agreeing(a: Column, b: Column) -> Column:
     """Positions at which two sketches agree in their four kept bits."""
     total = F.lit(0)
     for k in range(LONGS):
-        x = F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))
+        x = a[f"b{k}"].bitwiseXOR(b[f"b{k}"])
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x1111111111111111))
         total = total + (16 - F.bit_count(x))
@@ -151,10 +153,19 @@ def _pairs_within(groups: DataFrame, least: int) -> DataFrame:
     """(a, b) with a < b out of small arrays `ms` sorted by id."""
     one = groups.select(F.posexplode("ms").alias("i", "x"), "ms")
     two = one.select("x", F.explode(F.expr("slice(ms, i + 2, size(ms))")).alias("y"))
-    return two.filter((F.col("x.id") < F.col("y.id")) & (_agreeing("x", "y") >= least)).select(
+    return two.filter((F.col("x.id") < F.col("y.id")) & (_agreeing(F.col("x"), F.col("y")) >= least)).select(
         F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
+def _few_with_all(held: DataFrame, cores: DataFrame, least: int) -> DataFrame:
+    """Pairs of the few members outside a node's main component with all its members."""
+    rows = held.join(cores, "node")
+    few = rows.filter(F.col("root") != F.col("core")).groupBy("node").agg(F.collect_list("m").alias("few"))
+    near = F.filter("few", lambda x: (x["id"] != F.col("m.id")) & (_agreeing(x, F.col("m")) >= least))
+    met = held.join(few, "node").select("m", F.explode(near).alias("x"))
+    return met.select(F.least("m.id", "x.id").alias("a"), F.greatest("m.id", "x.id").alias("b"))
+
+
 def _tiled(big: DataFrame, limit: int, least: int) -> DataFrame:
     """All pairs of large nodes, in tiles of about `limit` by `limit` members."""
     tiles = F.ceil(F.col("size") / limit).cast("int")
@@ -166,7 +177,7 @@ def _tiled(big: DataFrame, limit: int, least: int) -> DataFrame:
     met = x.join(y, ["node", "s", "t"]).filter(
         (F.col("l.m.id") < F.col("r.m.id")) & ((F.col("s") == F.col("t")) | (F.col("l.own") != F.col("r.own"))))
     met = met.select(F.col("l.m").alias("x"), F.col("r.m").alias("y"))
-    return met.filter(_agreeing("x", "y") >= least).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    return met.filter(_agreeing(F.col("x"), F.col("y")) >= least).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int, broadcast_ids: int) -> DataFrame:
@@ -184,7 +195,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int, broad
 
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, recall: float = 0.995, limit: int = 16,
-    levels: int = 6, broadcast_ids: int = 2_000_000,
+    few: int = 48, levels: int = 4, broadcast_ids: int = 2_000_000,
 ) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -228,22 +239,27 @@ def near_duplicates(
         if known is not None:
             held = held.join(known.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
         held = stage(held, f"held{level}")
-        small = held.filter(F.col("size") <= limit).groupBy("node").agg(F.sort_array(F.collect_list("m")).alias("ms"))
+        most = limit if level == 1 else few
+        small = held.filter(F.col("size") <= most).groupBy("node").agg(F.sort_array(F.collect_list("m")).alias("ms"))
         pairs = _pairs_within(small, least)
-        big = held.filter(F.col("size") > limit)
+        big = held.filter(F.col("size") > most)
         if known is not None:
-            mixed = big.groupBy("node").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-            big = big.join(mixed.select("node"), "node", "left_semi")
+            parts = big.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
+                F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).filter("all > top.n")
+            parts = stage(parts.select("node", F.col("top.root").alias("core"), (F.col("all") - F.col("top.n")).alias("others")), "parts")
+            pairs = pairs.union(_few_with_all(big, parts.filter(F.col("others") <= few).select("node", "core"), least))
+            big = big.join(parts.filter(F.col("others") > few).select("node"), "node", "left_semi")
         if level < levels:
             hub = big.groupBy("node").agg(F.min("m").alias("x"))
             met = big.select("node", F.col("m").alias("y")).join(hub, "node").filter(F.col("x.id") < F.col("y.id"))
-            met = met.filter(_agreeing("x", "y") >= least).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+            met = met.filter(_agreeing(F.col("x"), F.col("y")) >= least).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
         else:
-            met = _tiled(big.withColumn("id", F.col("m.id")), limit, least)
+            met = _tiled(big.withColumn("id", F.col("m.id")), few, least)
         pairs = pairs.union(met)
         if known is not None:
-            pairs = _across(pairs, known)
+            pairs = _across(pairs, known).join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs.distinct(), f"pairs{level}")
+        tested = pairs if level == 1 else tested.union(pairs)
         known = _settle(docs, pairs, forced if level == 1 else None, known, size, percent, broadcast_ids)
         rows = big.select("node", "id")
         if rows.isEmpty():

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivekit.llm import bytebpe, neardup, piececount, shards, toxicity, warc
+from archivekit.llm import bytebpe, decontaminate, neardup, piececount, shards, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(docs, table(spark, folder, "labels")).drop("text")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_content_addressed_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages")).drop("record_length")
 
@@ -59,6 +63,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_content_addressed_warc": op3_content_addressed_warc,
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op6_karmarkar_karp_sharding": op6_karmarkar_karp_sharding,
