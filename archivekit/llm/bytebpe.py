@@ -10,6 +10,7 @@ of this kind ask for; each match is a piece of its own.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -25,7 +26,8 @@ from archivekit.llm.merges import Merges
 #: Pieces up to this length go through the table many at a time.
 SIDE_BY_SIDE = 48
 #: Bounds of what a worker remembers: entries, and characters of one.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 64
+REMEMBERED, REMEMBERED_CHARS = 300_000, 64
+_FILTER_BITS = 22
 
 #: Unicode's White_Space characters (fixed values).
 _WHITE = "\t\n\v\f\r \x85\xa0  -     　"
@@ -54,6 +56,8 @@ class ByteBpe:
         keys = np.array([self._key(self.tokens[i]) for i in usable], np.uint64)
         order = np.argsort(keys)
         self._keys, self._ids = keys[order], usable[order]
+        self._filter = np.zeros(1 << _FILTER_BITS, bool)
+        self._filter[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         self._lengths = sorted({len(self.tokens[i]) for i in usable})
         self._pieces: dict[str, bytes] = {}
         self._units: dict[str, bytes] = {}
@@ -65,46 +69,49 @@ class ByteBpe:
             total += (byte + 1) * pow(int(_ODD), i, 1 << 64)
         return total & (1 << 64) - 1
 
-    def _found(self, keys: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-        return np.where(self._keys[at] == keys, self._ids[at], -1)
-
     def _table(self, pieces: np.ndarray) -> np.ndarray:
-        """Last tokens of all prefixes of equally long pieces, one piece a row."""
+        """Last tokens of all prefixes of equally long pieces, one piece a column."""
         m, n = pieces.shape
         up = np.cumprod(np.array([1, *[_ODD] * n], np.uint64))
         down = np.cumprod(np.array([1, *[self._inverse] * n], np.uint64))
-        total = np.zeros((m, n + 1), np.uint64)
-        np.cumsum((pieces.astype(np.uint64) + np.uint64(1)) * up[:n], axis=1, out=total[:, 1:])
-        last = np.full((m, n + 1), -1, np.int64)
+        total = np.zeros((n + 1, m), np.uint64)
+        np.cumsum((pieces.T.astype(np.uint64) + np.uint64(1)) * up[:n, None], axis=0, out=total[1:])
+        last = np.full((n + 1, m), -1, np.int64)
+        shift = np.uint64(64 - _FILTER_BITS)
         for j in range(1, n + 1):
-            open_ = np.arange(m)
+            open_, left = np.ones(m, bool), m
             for size in reversed([s for s in self._lengths if s <= j]):
                 i = j - size
-                found = self._found((total[open_, j] - total[open_, i]) * down[i])
-                hit = found >= 0
+                keys = (total[j] - total[i]) * down[i]
+                some = np.flatnonzero(self._filter[(keys >> shift).view(np.int64)] & open_)
+                if not some.size:
+                    continue
+                keys = keys[some]
+                at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+                hit = self._keys[at] == keys
+                some, found = some[hit], self._ids[at[hit]]
                 if i:
-                    at = np.flatnonzero(hit)
-                    hit[at] = self.merges.apart(last[open_[at], i], found[at])
-                last[open_[hit], j] = found[hit]
-                open_ = open_[~hit]
-                if not open_.size:
+                    fits = self.merges.apart(last[i, some], found)
+                    some, found = some[fits], found[fits]
+                last[j, some] = found
+                open_[some] = False
+                left -= len(some)
+                if not left:
                     break
         return last
 
-    def encode_pieces(self, pieces: Iterable[bytes]) -> list[np.ndarray]:
-        """Token ids of each piece, as int32 arrays."""
-        pieces = list(pieces)
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Token ids of each piece, as the bytes of little-endian 32-bit numbers."""
         out: list = [None] * len(pieces)
         by: dict[int, list[int]] = {}
         for k, piece in enumerate(pieces):
             whole = self.merges.rank.get(piece)
             if whole is not None:  # a piece that is a token is that token
-                out[k] = np.array([whole], np.int32)
+                out[k] = whole.to_bytes(4, "little")
             elif len(piece) <= SIDE_BY_SIDE:
                 by.setdefault(len(piece), []).append(k)
             else:
-                out[k] = Prefixes(self, piece).ids()
+                out[k] = Prefixes(self, piece).ids().tobytes()
         for n, at in by.items():
             rows = np.frombuffer(b"".join(pieces[k] for k in at), np.uint8).reshape(len(at), n)
             last = self._table(rows)
@@ -113,10 +120,12 @@ class ByteBpe:
                 live = np.flatnonzero(place)
                 if not live.size:
                     break
-                ids[live, step] = last[live, place[live]]
+                ids[live, step] = last[place[live], live]
                 place[live] -= self.sizes[ids[live, step]]
-            for k, row in zip(at, ids):
-                out[k] = row[row >= 0]
+            held = ids >= 0
+            flat, ends = ids[held].astype("<i4").tobytes(), (4 * np.cumsum(held.sum(1))).tolist()
+            for k, a, b in zip(at, [0, *ends], ends):
+                out[k] = flat[a:b]
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -126,14 +135,18 @@ class ByteBpe:
             self._units.clear()
             self._pieces.clear()
         new = {u for units in split for u in units if u not in self._units}
-        pieces = {u: self.pattern.findall(u) for u in new}
-        fresh = list({p for found in pieces.values() for p in found if p not in self._pieces})
-        now = dict(zip(fresh, (x.astype("<i4").tobytes() for x in self.encode_pieces(p.encode() for p in fresh))))
-        self._pieces.update((p, x) for p, x in now.items() if len(p) <= REMEMBERED_CHARS)
+        # A blank and letters, or letters alone, are one match of the pattern.
+        plain = [u for u in new if u.isalpha() or u[0] == " " and u[1:].isalpha()]
+        pieces = {u: self.pattern.findall(u) for u in new.difference(plain)}
+        fresh = list({p for found in pieces.values() for p in found if p not in self._pieces}.union(plain))
+        now = dict(zip(fresh, self.encode_pieces([p.encode() for p in fresh])))
         long: dict[str, bytes] = {}
+        for unit in plain:
+            (self._units if len(unit) <= REMEMBERED_CHARS else long)[unit] = now[unit]
         for unit, found in pieces.items():
             ids = b"".join([now[p] if p in now else self._pieces[p] for p in found])
             (self._units if len(unit) <= REMEMBERED_CHARS else long)[unit] = ids
+        self._pieces.update((p, now[p]) for found in pieces.values() for p in found if p in now and len(p) <= REMEMBERED_CHARS)
         get = {**long, **self._units}.__getitem__ if long else self._units.__getitem__
         return [np.frombuffer(b"".join(map(get, units)), "<i4") for units in split]
 
@@ -205,6 +218,28 @@ def encode_udf(path: str, pattern: str) -> Column:
     return encode
 
 
+def digest_udf(path: str, pattern: str) -> Column:
+    """Number of tokens, and SHA-256 of the ids as text and of the bytes decoded from them."""
+    fields = ["n_tokens", "ids_sha256", "decoded_sha256"]
+
+    @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>")
+    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = load(path, pattern)
+        spelled = [str(i) for i in range(len(bpe.tokens))]
+        for batch in batches:
+            out: list[list] = [[], [], []]
+            for part in T.slices(batch):
+                for ids in bpe.encode([t or "" for t in part.to_pylist()]):
+                    ids = ids.tolist()
+                    out[0].append(len(ids))
+                    out[1].append(hashlib.sha256(" ".join(map(spelled.__getitem__, ids)).encode()).hexdigest())
+                    out[2].append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+            kinds = pa.int64(), pa.string(), pa.string()
+            yield pa.StructArray.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], names=fields)
+
+    return digest
+
+
 def decode_udf(path: str, pattern: str) -> Column:
     """Token ids to the bytes they stand for; null gives no bytes."""
 

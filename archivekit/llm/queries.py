@@ -40,12 +40,7 @@ def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     import public_tokenizers
 
     files = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = docs.select("doc_id", bytebpe.encode_udf(*files)("text").alias("ids"))
-    decoded = encoded.withColumn("decoded", bytebpe.decode_udf(*files)("ids"))
-    spelled = F.array_join(F.transform("ids", lambda x: x.cast("string")), " ")
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(spelled, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return docs.select("doc_id", bytebpe.digest_udf(*files)("text").alias("d")).select("doc_id", "d.*")
 
 
 def op6_karmarkar_karp_sharding(spark: SparkSession, folder: str) -> DataFrame:
