@@ -29,7 +29,7 @@ def _small(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) to (v, root): the smallest vertex of each vertex's component.
 
-    Isolated vertices have no row. Each round is written to the shared folder, so a
+    Roots and isolated vertices have no row. Each round is written to the shared folder, so a
     lost executor costs one round; the number of rounds grows with the logarithm of
     the longest path.
     """

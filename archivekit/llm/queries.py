@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivekit.llm import bytebpe, decontaminate, neardup, piececount, shards, toxicity, warc
+from archivekit.llm import bytebpe, decontaminate, neardup, piececount, projections, shards, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def bpe_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     return docs.select("doc_id", bytebpe.digest_udf(*files)("text").alias("d")).select("doc_id", "d.*")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return projections.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op6_karmarkar_karp_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_documents(table(spark, folder, "documents"), 24)
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_content_addressed_warc": op3_content_addressed_warc,
     "op4_byte_level_bpe": op4_byte_level_bpe,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_karmarkar_karp_sharding": op6_karmarkar_karp_sharding,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_token_counts": op10_token_counts,
