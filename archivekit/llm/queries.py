@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivekit.llm import bytebpe, ctw, decontaminate, neardup, piececount, projections, shards, toxicity, warc
+from archivekit.llm import bytebpe, ctw, decontaminate, licenses, neardup, piececount, projections, shards, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op6_karmarkar_karp_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_documents(table(spark, folder, "documents"), 24)
 
 
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
 def op9_context_tree_weighting(spark: SparkSession, folder: str) -> DataFrame:
     return ctw.score_documents(table(spark, folder, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_level_bpe": op4_byte_level_bpe,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_karmarkar_karp_sharding": op6_karmarkar_karp_sharding,
+    "op7_license_scan": op7_license_scan,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_context_tree_weighting": op9_context_tree_weighting,
     "op10_token_counts": op10_token_counts,
