@@ -10,6 +10,7 @@ put in, taken out or changed between the template and the closest stretch of the
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -109,8 +110,12 @@ class Scanner:
     def winners(self, block: str, least: float) -> list[tuple[str, float, int, int, float]]:
         """(license, reduction, rank, edits, likeness) of a block's confirmed wordings, the likest first."""
         found, said = [], words(block)
+        held = Counter(said)
         for rank, (saved, name) in enumerate(self.reductions(block)[:CLOSEST], 1):
             target = self.words[name]
+            # No stretch is nearer than the words that the block lacks altogether.
+            if (Counter(target) - held).total() > (1 - least) * len(target):
+                continue
             edits = differences(target, said)[0]
             likeness = 1 - edits / len(target)
             if likeness >= least:
@@ -125,15 +130,17 @@ class Scanner:
         for m in _BLOCK.finditer(text):
             if not m[0] or not CUE.search(m[0]):
                 continue
-            at = m.start()
+            at, lines = m.start(), []
             for line in m[0].splitlines(keepends=True):
                 if CUE.search(line):
-                    self._add(out, line.rstrip("\r\n"), at, least)
+                    self._add(lines, line.rstrip("\r\n"), at, least)
                 at += len(line)
-            # A wording broken over lines shows in its paragraph alone.
-            lines = {x["license"] for x in out if m.start() <= x["begin"] < m.end()}
-            if m[0].count("\n") and not lines:
-                self._add(out, m[0], m.start(), least)
+            # A wording broken over lines shows whole in its paragraph alone.
+            whole: list[dict] = []
+            if "\n" in m[0] and not any(x["edits"] == 0 for x in lines):
+                self._add(whole, m[0], m.start(), least)
+            better = whole and all(x["license"] == whole[0]["license"] and x["edits"] > whole[0]["edits"] for x in lines)
+            out += whole if better else lines
         return out
 
     def _add(self, out: list[dict], block: str, at: int, least: float) -> None:

@@ -246,7 +246,7 @@ def token_counts(df: DataFrame, path: str, text: str = "text", out: str = "n_tok
     into chunks, which are mapped in parallel and composed. Null and empty texts count
     0. Repeated rows and any other columns stay as they are.
     """
-    long = F.length(text) > chunk
+    df, long = df.drop(out), F.length(text) > chunk
     short = df.filter(~F.coalesce(long, F.lit(False))).withColumn(out, count_udf(path)(text))
     some = df.filter(long)
     if some.isEmpty():

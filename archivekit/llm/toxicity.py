@@ -285,12 +285,11 @@ def held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(True))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, threshold: float = 0.7) -> DataFrame:
-    """`docs` with the columns held_out, score and predicted.
+def score_column(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Column:
+    """Learn from `docs` and `labels`; gives the score of a row of `docs` by its text.
 
-    Every row is scored on its whole text; null and empty texts get the score of no
-    term. Labels other than 0 and 1, and rows without label or doc_id, teach nothing; a
-    document labelled twice teaches by its largest label. Other columns of `docs` stay.
+    Labels other than 0 and 1, and rows without label or doc_id, teach nothing; a
+    document labelled twice teaches by its largest label.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -300,6 +299,15 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_00
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     some = texts.join(F.broadcast(sample), "doc_id")  # at most sample_rows narrow rows
     weights = spark.sparkContext.broadcast(train(some.select(terms_udf(model)("text").alias("terms"), "label")))
-    scored = docs.withColumn("score", score_udf(model, weights)(F.col("text").cast("string")))
+    return score_udf(model, weights)(F.col("text").cast("string"))
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, threshold: float = 0.7) -> DataFrame:
+    """`docs` with the columns held_out, score and predicted, which replace others of these names.
+
+    Every row is scored on its whole text; null and empty texts get the score of no
+    term. Repeated rows get equal scores.
+    """
+    scored = docs.withColumn("score", score_column(docs, labels, sample_rows))
     return scored.withColumn("held_out", held_out()).withColumn(
         "predicted", F.when(F.col("score") >= threshold, 1).otherwise(0).cast(ST.IntegerType()))

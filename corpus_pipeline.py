@@ -21,13 +21,15 @@ from pyspark.sql import functions as F
 from archivekit.llm import decontaminate, neardup, queries, toxicity
 from archivekit.operators.workspace import stage as written
 
+#: Documents of this score or more are rejected.
+REJECTED = 0.7
 #: Ids of dropped documents that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = toxicity.score_documents(docs, queries.table(spark, sf_dir, "labels"))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    score = toxicity.score_column(docs, queries.table(spark, sf_dir, "labels"))
+    return docs.filter(score < REJECTED)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
