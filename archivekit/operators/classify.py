@@ -69,11 +69,11 @@ def is_known_recorder(days: DataFrame) -> DataFrame:
 
 # --- folder level ----------------------------------------------------------
 
-def folder_shape(files: DataFrame, levels: int = 3) -> DataFrame:
+def folder_shape(files: DataFrame, levels: int | None = None) -> DataFrame:
     """Per folder: data files directly inside, and kinds of subfolders.
 
-    Files are first counted per folder, so only folders, not files, are
-    repeated for the `levels` folders above them.
+    Files are first counted per folder, so only folders, not files, are repeated for the
+    folders above them: up to the root, or `levels` of them with their own.
     """
     name = F.col("name")
     leaves = (
@@ -85,7 +85,7 @@ def folder_shape(files: DataFrame, levels: int = 3) -> DataFrame:
     )
     up = (
         leaves.withColumn("parts", F.split("leaf", "/"))
-        .withColumn("up", F.explode(F.sequence(F.lit(0), F.lit(levels - 1))))
+        .withColumn("up", F.explode(F.sequence(F.lit(0), F.size("parts") if levels is None else F.lit(levels - 1))))
         .filter(F.size("parts") > F.col("up") + 1)
         .select(
             F.concat_ws("/", F.slice("parts", F.lit(1), F.size("parts") - F.col("up"))).alias("folder"),
@@ -108,7 +108,7 @@ def folder_shape(files: DataFrame, levels: int = 3) -> DataFrame:
     )
 
 
-def archive_level(files: DataFrame, mode: str = "content", levels: int = 3) -> DataFrame:
+def archive_level(files: DataFrame, mode: str = "content", levels: int | None = None) -> DataFrame:
     """DAY, MONTH, YEAR or UNKNOWN for every folder of the listing.
 
     `content` looks for data files one level down, `name` also at the folder's

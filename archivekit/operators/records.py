@@ -4,33 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from archivekit.functions import streams as S
+from archivekit.functions import names as N, streams as S
 
 IDENTITY = ["net", "sta", "loc", "cha"]
 RECORD_KEY = [*IDENTITY, "start_ts", "end_ts", "n_samples"]
 
 
-def dedup_records(records: DataFrame, compare_payload: bool = False) -> DataFrame:
-    """One copy of each repeated record: the one with the smallest source path.
+def payload_digest() -> Column:
+    """Tells apart the samples of records with one key; a missing payload has its own."""
+    return F.xxhash64("payload")
+
+
+def record_conflicts(records: DataFrame) -> DataFrame:
+    """Keys under which records with different samples occur, and their source files."""
+    return (
+        records.groupBy(*RECORD_KEY, payload_digest().alias("_digest"))
+        .agg(F.min("src_path").alias("src_path"))
+        .groupBy(*RECORD_KEY)
+        .agg(F.count(F.lit(1)).alias("versions"), F.sort_array(F.collect_list("src_path")).alias("sources"))
+        .filter(F.col("versions") > 1)
+    )
+
+
+def dedup_records(
+    records: DataFrame, compare_payload: bool = False, keys: Sequence[str] = RECORD_KEY
+) -> DataFrame:
+    """One copy of each repeated record: of a local file before a telemetered one, then
+    the one with the smallest source path.
 
     Written as an aggregate so that copies are merged before the shuffle.
     `compare_payload=True` keeps records whose samples differ.
     """
-    keys = list(RECORD_KEY)
-    rows = records
+    keys = list(keys)
+    others = [c for c in records.columns if c not in keys]
+    rows, by = records, list(keys)
     if compare_payload:
-        rows = records.withColumn("_digest", F.xxhash64("payload"))
-        keys.append("_digest")
-    others = [c for c in records.columns if c not in RECORD_KEY]
+        rows = records.withColumn("_digest", payload_digest())
+        by.append("_digest")
     if not others:
-        return rows.select(*keys).distinct().select(*RECORD_KEY)
+        return rows.select(*by).distinct().select(*keys)
     ordered = sorted(others, key=lambda c: c != "src_path")
+    if "src_path" in others:
+        spaced = F.coalesce(N.is_spaced(N.base_name(F.col("src_path"))), F.lit(True)).alias("_spaced")
+        ordered = [spaced, *ordered]
     return (
-        rows.groupBy(*keys)
+        rows.groupBy(*by)
         .agg(F.min(F.struct(*ordered)).alias("_copy"))
-        .select(*RECORD_KEY, *[F.col(f"_copy.{c}").alias(c) for c in others])
+        .select(*keys, *[F.col(f"_copy.{c}").alias(c) for c in others])
         .select(*records.columns)
     )
 

@@ -242,6 +242,7 @@ def _cascade_days(groups: DataFrame, params: Params) -> DataFrame:
         F.sum(F.when(local, n).otherwise(0)).alias("us"),
         F.sum(F.when(F.col("style") == "spaced", n).otherwise(0)).alias("sp"),
         F.max(F.when(stamped & _about_full(n, params), F.struct("n", "stamp"))).alias("full"),
+        F.sum(F.when(stamped, n).otherwise(0)).alias("n_stamped"),
         F.sum(F.when(common, n).otherwise(0)).alias("n_common"),
         F.collect_set(F.when(common, F.col("stamp"))).alias("common"),  # at most 100
     )
@@ -253,6 +254,7 @@ def _cascade_days(groups: DataFrame, params: Params) -> DataFrame:
         F.when(_about_full(us, params), "local")
         .when(few & _about_full(sp, params), "telemetered")
         .when(many & F.col("full").isNotNull(), "one_stamp")
+        .when(many & (F.col("n_stamped") == 0), "patched")
         .when(many & (F.col("n_common") >= params.near_complete), "stamps")
         .when(many, "stamps_patched")
         .otherwise("patched")
@@ -271,7 +273,8 @@ def cascade_plan(
     local: about a full day of local files; telemetered: about a full day of
     telemetered files and few local ones; one_stamp: too many local files, one
     stamp of about a full day; stamps: too many, common stamps nearly make a
-    day; stamps_patched: common stamps fall short; patched: too few local files.
+    day; stamps_patched: common stamps fall short; patched: too few local files, or too
+    many whose names carry no stamp.
     """
     groups = _cascade_groups(valid_files(files, family, params))
     return _cascade_days(groups, params).drop("stamps")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,7 @@ from archivekit.operators.classify import KNOWN_RECORDERS, carry_type, decide_ty
 from archivekit.operators.lookup import attach, attach_small
 from archivekit.operators.rename import day_rules, rename_by_day_rules, select_channels
 from archivekit.operators.select import near_complete_rule
-from archivekit.operators.workspace import stage
+from archivekit.operators.workspace import discard, stage
 from archivekit.params import Params
 from archivekit.sinks.archive import write_manifest, write_sds, year_span
 from archivekit.sinks.runlog import day_lines, read_run_log, write_day_lines, write_run_log
@@ -148,17 +149,26 @@ def run_archive(
     reset: str | None = None,
     skip_present: bool = True,
     folders: Sequence[str] = tuple(schemas.SDS_PARTITIONS),
+    stations: Sequence[str] | None = None,
 ) -> DataFrame:
     """File the records of all station-days from `start` to `end`.
 
     `files` is the listing of the whole archive (recorder types are carried
-    over from days before `start`), `records` the decoded records. Days logged
-    as OK are skipped; a day that only received records spilled over midnight is
-    not, and records already filed are never written twice. Returns the plan:
-    one row per station-day with its status.
+    over from days before `start`), `records` the decoded records; a record table
+    stored by station and year (`write_records`) is read for the days and `stations`
+    of the run alone. Days logged as OK are skipped, files that came later included; run
+    again with `skip_present=False` for those. A day that only received records spilled
+    over midnight is not skipped, and records already filed are never written twice. If
+    filing fails, the days meant to be filed are logged as FAILED with the error, which
+    is then raised. Returns the plan: one row per station-day with its status.
     """
+    staged: list[str] = []
+    run_ts = F.lit(datetime.now(timezone.utc))
+    if stations is not None:
+        files = files.filter(F.col("station_dir").isin(*stations))
+    records = _of_run(records, start, end, stations)
     days = between_days(archive_days(between_days(files, None, end), params, reset), start, end)
-    days = stage(days, "days")
+    days = stage(days, "days", staged)
     present = days.limit(0)
     if run_log and skip_present:
         present = (
@@ -177,28 +187,59 @@ def run_archive(
     # Streams need identities and paths only; payloads are not read here.
     narrow = records.select("net", "sta", "loc", "cha", "start_ts", "src_path")
     facts = todo.select(*DAY, "recorder", "keep")
-    channels = stage(select_channels(choose_records(narrow, facts, params), params), "channels")
+    channels = stage(select_channels(choose_records(narrow, facts, params), params), "channels", staged)
     plan = stage(day_plan(days, channels, present, params), "plan")
 
     # Everything a record needs to know about its day, in one row per day, so
     # payloads meet one join here.
     go = plan.filter(F.col("status") == "OK").select(*DAY)
     ready = stage(
-        facts.join(go, DAY, "left_semi").join(day_rules(channels, params), DAY), "ready"
+        facts.join(go, DAY, "left_semi").join(day_rules(channels, params), DAY), "ready", staged
     )
     filed = rename_by_day_rules(choose_records(records, ready, params))
-    write_sds(filed.select(*records.columns), sds_root, year_span(narrow), folders)
-
+    # Only years of the records being filed are compared with.
+    years = year_span(choose_records(narrow, ready, params))
+
+    error = None
+    try:
+        write_sds(filed.select(*schemas.RECORDS.fieldNames()), sds_root, years, folders)
+    except Exception as raised:
+        error = raised
+    done = plan.filter(F.col("status") != "PRESENT")
+    detail = F.format_string("files=%d rules=%d", "n_selected", "n_rules")
+    if error is not None:
+        failed = F.col("status") == "OK"
+        detail = F.when(failed, F.lit(f"{type(error).__name__}: {error}"[:500])).otherwise(detail)
+        done = done.withColumn("_detail", detail).withColumn("status", F.when(failed, "FAILED").otherwise(F.col("status")))
+        detail = F.col("_detail")
     if run_log:
         write_run_log(
-            plan.filter(F.col("status") != "PRESENT").select(
-                F.current_timestamp().alias("run_ts"),
+            done.select(
+                run_ts.alias("run_ts"),
                 F.col("station_dir").alias("station"),
                 "day", "recorder", "status",
-                F.format_string("files=%d rules=%d", "n_selected", "n_rules").alias("detail"),
+                detail.alias("detail"),
             ),
             run_log,
         )
     if day_logs:
-        write_day_lines(day_lines(plan), day_logs)
+        write_day_lines(day_lines(done).withColumn("run_ts", run_ts), day_logs)
+    discard(spark, staged)
+    if error is not None:
+        raise error
     return plan
+
+
+def _of_run(records: DataFrame, start, end, stations: Sequence[str] | None) -> DataFrame:
+    """Records of the run's stations and days; on a stored table by its folders.
+
+    A day's files lie in the folder of its own year, whenever their records start.
+    """
+    if "station_dir" in records.columns and stations is not None:
+        records = records.filter(F.col("station_dir").isin(*stations))
+    if "year" in records.columns:
+        if start is not None:
+            records = records.filter(F.col("year") >= F.year(F.lit(start).cast("date")))
+        if end is not None:
+            records = records.filter(F.col("year") <= F.year(F.lit(end).cast("date")))
+    return records.select(*schemas.RECORDS.fieldNames())

@@ -281,14 +281,11 @@ _SHAPE = r"""
                count(DISTINCT child) AS n_subfolders,
                count(DISTINCT CASE WHEN regexp_matches(child, '^\d\d$') THEN child END) AS n_two_digit
         FROM (
-          SELECT folder, CAST(NULL AS VARCHAR) AS child, 0 AS up,
-                 count(*) FILTER (kind IN ('dmx', 'ms.zip')) AS n FROM files GROUP BY folder
-          UNION ALL
-          SELECT regexp_extract(folder, '^(.*)/\d+$', 1), right(folder, 2), 1,
-                 count(*) FILTER (kind IN ('dmx', 'ms.zip')) FROM files GROUP BY folder
-          UNION ALL
-          SELECT regexp_extract(folder, '^(.*)/\d+/\d+$', 1), regexp_extract(folder, '/(\d+)/\d+$', 1), 2,
-                 count(*) FROM files GROUP BY folder)
+          SELECT array_to_string(parts[1:len(parts) - up], '/') AS folder, up, n,
+                 CASE WHEN up > 0 THEN parts[len(parts) - up + 1] END AS child
+          FROM (SELECT string_split(folder, '/') AS parts, count(*) FILTER (kind IN ('dmx', 'ms.zip')) AS n
+                FROM files GROUP BY folder) AS leaves, LATERAL (SELECT unnest(range(len(parts))) AS up)
+          WHERE len(parts) > up + 1)
         GROUP BY folder"""
 
 _TYPE_OUT = "station_dir, day, n_dmx, n_ms, n_total, decided, recorder"
@@ -500,7 +497,7 @@ _BODIES = {
                CAST(day AS VARCHAR) || ' | ' || recorder || ' | Status: ' || status AS line FROM day_status""",
     "day_lines": """
         SELECT station_dir AS station, day, unnest(range(5)) AS line_no,
-               unnest(['Processing day: ' || day, 'Detected recorder type: ' || recorder,
+               unnest(['Station-day taken up: ' || day, 'Recorder family: ' || recorder,
                        'Selected files: ' || n_selected, 'Rename rules: ' || n_rules,
                        'Status: ' || status]) AS line
         FROM day_status""",

@@ -25,6 +25,16 @@ RECORDS = T.StructType([
     T.StructField("src_path", T.StringType()),
 ])
 
+# A record table stored by station folder and year.
+STORED_RECORDS = T.StructType([
+    *RECORDS.fields,
+    T.StructField("station_dir", T.StringType()),
+    T.StructField("year", T.IntegerType()),
+])
+
+# Stands for a blank network, station or channel: a blank folder name would come back as NULL.
+BLANK = "_"
+
 # Partition columns come last, as the parquet reader returns them.
 SDS_PARTITIONS = ["year", "net", "sta", "cha", "doy"]
 SDS = T.StructType([
@@ -35,6 +45,7 @@ SDS = T.StructType([
     T.StructField("rate", T.DoubleType()),
     T.StructField("payload", T.BinaryType()),
     T.StructField("src_path", T.StringType()),
+    T.StructField("digest", T.LongType()),
     T.StructField("year", T.IntegerType()),
     T.StructField("net", T.StringType()),
     T.StructField("sta", T.StringType()),
@@ -56,4 +67,5 @@ LOG_LINES = T.StructType([
     T.StructField("day", T.DateType()),
     T.StructField("line_no", T.LongType()),
     T.StructField("line", T.StringType()),
+    T.StructField("run_ts", T.TimestampType()),
 ])

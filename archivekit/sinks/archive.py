@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from archivekit import schemas
 from archivekit.functions import streams as S
-from archivekit.operators.records import IDENTITY, RECORD_KEY, dedup_records
+from archivekit.operators.records import IDENTITY, RECORD_KEY, dedup_records, payload_digest
 from archivekit.operators.rename import RenameRule, apply_wildcard_rename
-from archivekit.sources.catalog import scan_sds
+from archivekit.sources.catalog import path_missing, scan_sds
+
+FILED_KEY = [*RECORD_KEY, "digest"]
+
 
 def write_manifest(chosen: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Store the chosen files by station and year, days sorted inside."""
+    """Store the chosen files by station and year, days sorted inside.
+
+    Appending leaves out files that the manifest already holds, so a run may repeat.
+    """
+    if mode == "append":
+        try:
+            held = read_manifest(chosen.sparkSession, path)
+        except AnalysisException as error:
+            if not path_missing(error):
+                raise
+        else:
+            chosen = chosen.join(held.select("path").distinct(), "path", "left_anti").select(*chosen.columns)
     (
         chosen.withColumn("year", F.year("day"))
         .hint("rebalance", F.col("station_dir"), F.col("year"))
@@ -65,13 +80,26 @@ def skip_present(rows: DataFrame, present: DataFrame, keys: Sequence[str]) -> Da
     return rows.join(present.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def new_records(records: DataFrame, filed: DataFrame) -> DataFrame:
+def new_records(records: DataFrame, filed: DataFrame, keys: Sequence[str] = RECORD_KEY) -> DataFrame:
     """Records not filed yet, compared by full record key.
 
     The join key is exactly the key `dedup_records` shuffles by, so records
     coming from there are not shuffled again.
     """
-    return records.join(filed.select(*RECORD_KEY), RECORD_KEY, "left_anti")
+    keys = list(keys)
+    return records.join(filed.select(*keys), keys, "left_anti")
+
+
+def with_identity(records: DataFrame) -> DataFrame:
+    """No part of a stream's identity is NULL, and none that names a folder is blank.
+
+    A NULL never equals itself, and a blank folder name is read back as NULL; such a
+    record would be filed again at every run.
+    """
+    named = {
+        c: F.when(F.trim(F.col(c)) != "", F.col(c)).otherwise(schemas.BLANK) for c in ("net", "sta", "cha")
+    }
+    return records.withColumns({**named, "loc": F.coalesce("loc", F.lit(""))})
 
 
 def year_span(records: DataFrame) -> list[int]:
@@ -87,9 +115,14 @@ def write_sds(
     root: str,
     years: Sequence[int] | None = None,
     folders: Sequence[str] = tuple(schemas.SDS_PARTITIONS),
+    stations: Sequence[str] | None = None,
 ) -> None:
     """Make records unique and append those not filed yet.
 
+    Records under one key with different samples are all filed (see
+    `record_conflicts`); of equal ones the local copy's path is kept. `stations` limits
+    the folders compared against, as `years` does.
+
     `years` limits the folders compared against; by default it is read off the
     records. Rebalancing by day file gives few files per folder and splits a
     day file that holds too much. Millions of day folders are slow to list: a
@@ -100,8 +133,8 @@ def write_sds(
     years = year_span(records) if years is None else list(years)
     if not years:
         return
-    unique = dedup_records(records.fillna({"loc": ""}))
-    fresh = new_records(unique, scan_sds(spark, root, years))
+    unique = dedup_records(with_identity(records).withColumn("digest", payload_digest()), keys=FILED_KEY)
+    fresh = new_records(unique, scan_sds(spark, root, years, stations), FILED_KEY)
     (
         assign_sds_day(fresh)
         .select(*schemas.SDS.fieldNames())

@@ -41,11 +41,11 @@ def run_lines(runs: DataFrame) -> DataFrame:
 
 
 def day_lines(plan: DataFrame) -> DataFrame:
-    """Each station-day's own log, told from its plan row."""
+    """Each station-day's own log, told from its plan row; `error` tells of a failed day."""
     say = lambda text, *cols: F.format_string(text, *cols)
     lines = F.array(
-        say("Processing day: %s", F.col("day").cast("string")),
-        say("Detected recorder type: %s", "recorder"),
+        say("Station-day taken up: %s", F.col("day").cast("string")),
+        say("Recorder family: %s", "recorder"),
         say("Selected files: %d", "n_selected"),
         say("Rename rules: %d", "n_rules"),
         say("Status: %s", "status"),
@@ -56,6 +56,8 @@ def day_lines(plan: DataFrame) -> DataFrame:
 
 
 def write_day_lines(lines: DataFrame, path: str) -> None:
+    if "run_ts" not in lines.columns:
+        lines = lines.withColumn("run_ts", F.lit(None).cast("timestamp"))
     lines.select(*schemas.LOG_LINES.fieldNames()).write.mode("append").parquet(path)
 
 
@@ -64,12 +66,12 @@ def run_summary(runs: DataFrame) -> DataFrame:
 
 
 def last_lines(log_lines: DataFrame, params: Params = Params()) -> DataFrame:
-    """Last lines of each station-day's log.
+    """Last lines of each station-day's log, of each run apart if the lines name it.
 
     The rank limit is applied within each input partition before the shuffle,
     so a long log never travels whole.
     """
-    newest = Window.partitionBy("station", "day").orderBy(F.desc("line_no"))
+    newest = Window.partitionBy(*_log_key(log_lines)).orderBy(F.desc("line_no"))
     return (
         log_lines.withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") <= params.tail_lines)
@@ -82,9 +84,15 @@ def crash_report(
 ) -> DataFrame:
     """Failed days with the last lines of their logs.
 
-    A day whose streams yield no rename rule counts as failed.
+    A day whose streams yield no rename rule counts as failed. If both tables name their
+    runs, a failure gets the lines of its own run.
     """
+    key = [c for c in _log_key(log_lines) if c in runs.columns]
     failed = runs.filter(F.col("status").isin("FAILED", "NO_RULES")).select(
-        "station", "day", F.col("detail").alias("error")
+        *key, F.col("detail").alias("error")
     )
-    return failed.join(last_lines(log_lines, params), ["station", "day"], "left")
+    return failed.join(last_lines(log_lines, params), key, "left")
+
+
+def _log_key(log_lines: DataFrame) -> list[str]:
+    return ["station", "day", *(["run_ts"] if "run_ts" in log_lines.columns else [])]

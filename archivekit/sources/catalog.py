@@ -30,17 +30,21 @@ def scan_day_folders(
 ) -> DataFrame:
     """Files of the day folders of `stations` from `start` to `end`, listed in tasks.
 
-    One row per possible day folder is spread over the cluster and each task
-    lists its own folders, so names never pass through the driver. Folders that
-    do not exist give no rows.
+    One row per possible month is spread over the cluster and each task lists its own
+    months, so names never pass through the driver. Folders of months and days may have
+    one digit or two. Folders that do not exist give no rows.
     """
-    days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    months = F.sequence(F.trunc(first, "month"), last, F.expr("interval 1 month"))
     folders = (
         spark.createDataFrame([(s,) for s in stations], "station string")
-        .select("station", F.explode(days).alias("day"))
-        .select(F.concat_ws(
-            "/", "station", F.lit("continuous"), F.date_format("day", "yyyy/MM/dd")
-        ).alias("folder"))
+        .select("station", F.explode(months).alias("month"))
+        .select(
+            F.concat_ws("/", "station", F.lit("continuous"), F.date_format("month", "yyyy")).alias("folder"),
+            F.month("month").alias("month"),
+            F.when(F.trunc(first, "month") == F.col("month"), F.dayofmonth(first)).otherwise(1).alias("low"),
+            F.when(F.trunc(last, "month") == F.col("month"), F.dayofmonth(last)).otherwise(31).alias("high"),
+        )
     )
     # A fixed number of tasks: so little data would be merged into one otherwise.
     tasks = spark.sparkContext.defaultParallelism * 4
@@ -50,19 +54,32 @@ def scan_day_folders(
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(root)
+
+        def entries(folder, kind):
+            found = store.get_file_info(fs.FileSelector(f"{base}/{folder}", allow_not_found=True))
+            return [i for i in found if i.type == kind]
+
+        def numbered(folder, low, high):
+            return [
+                f"{folder}/{i.base_name}" for i in entries(folder, fs.FileType.Directory)
+                if i.base_name.isdecimal() and len(i.base_name) <= 2 and low <= int(i.base_name) <= high
+            ]
+
         for batch in batches:
-            for folder in batch["folder"]:
-                found = store.get_file_info(
-                    fs.FileSelector(f"{base}/{folder}", allow_not_found=True)
-                )
-                files = [i for i in found if i.type == fs.FileType.File]
+            days = [
+                day for row in batch.itertuples()
+                for month in numbered(row.folder, row.month, row.month)
+                for day in numbered(month, row.low, row.high)
+            ]
+            for folder in days:
+                files = entries(folder, fs.FileType.File)
                 yield pd.DataFrame({
                     "path": [f"{root}/{folder}/{i.base_name}" for i in files],
                     "length": [i.size for i in files],
                     "modified": pd.to_datetime([i.mtime for i in files], utc=True),
                 }).astype({"path": "object", "length": "int64"})
 
-    return folders.repartition(tasks, "folder").mapInPandas(
+    return folders.repartition(tasks, "folder", "month").mapInPandas(
         list_folders, "path string, length bigint, modified timestamp"
     )
 
@@ -106,9 +123,29 @@ def day_folders(files: DataFrame, start=None, end=None) -> DataFrame:
     return between_days(files, start, end).select("station_dir", "day").distinct()
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Record table: one row per record, under a fixed schema."""
-    return spark.read.schema(schemas.RECORDS).parquet(path)
+def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
+    """Store decoded records by station folder and year of their source file.
+
+    A run over a few days or stations then reads their folders alone.
+    """
+    keyed = N.with_path_keys(records, "src_path").withColumn("year", F.year("day"))
+    (
+        keyed.select(*schemas.RECORDS.fieldNames(), "station_dir", "year", "day")
+        .hint("rebalance", F.col("station_dir"), F.col("year"))
+        .sortWithinPartitions("station_dir", "year", "day")
+        .drop("day")
+        .write.mode(mode).partitionBy("station_dir", "year").parquet(path)
+    )
+
+
+def read_records(spark: SparkSession, path: str, partitioned: bool = False) -> DataFrame:
+    """Record table: one row per record, under a fixed schema.
+
+    `partitioned` tables are those of `write_records`; they also have `station_dir` and
+    `year`, by which `run_archive` prunes.
+    """
+    schema = schemas.STORED_RECORDS if partitioned else schemas.RECORDS
+    return spark.read.schema(schema).parquet(path)
 
 
 def path_missing(error: Exception) -> bool:

@@ -148,7 +148,10 @@ def test_archive_level(spark, mode, want):
     files = listing(spark, "STAA", DAY0, [us_echo("STAA", DAY0, "0001", "02")])
     got = {r["folder"]: r["level"] for r in classify.archive_level(files, mode).collect()}
     root = "/data/archive/STAA/continuous/2023"
-    assert got == {f"{root}/11/24": want["d"], f"{root}/11": want["m"], root: want["y"]}
+    below = {f: level for f, level in got.items() if f.startswith(root)}
+    assert below == {f"{root}/11/24": want["d"], f"{root}/11": want["m"], root: want["y"]}
+    # The station and all above it have rows too.
+    assert {"/data", "/data/archive", "/data/archive/STAA", "/data/archive/STAA/continuous"} <= set(got)
 
 
 def test_full_month_by_count_and_folder_without_data(spark):
