@@ -67,5 +67,7 @@ LOG_LINES = T.StructType([
     T.StructField("day", T.DateType()),
     T.StructField("line_no", T.LongType()),
     T.StructField("line", T.StringType()),
-    T.StructField("run_ts", T.TimestampType()),
 ])
+
+# Day logs as stored: lines name the run they belong to.
+STORED_LINES = T.StructType([*LOG_LINES.fields, T.StructField("run_ts", T.TimestampType())])

@@ -58,7 +58,7 @@ def day_lines(plan: DataFrame) -> DataFrame:
 def write_day_lines(lines: DataFrame, path: str) -> None:
     if "run_ts" not in lines.columns:
         lines = lines.withColumn("run_ts", F.lit(None).cast("timestamp"))
-    lines.select(*schemas.LOG_LINES.fieldNames()).write.mode("append").parquet(path)
+    lines.select(*schemas.STORED_LINES.fieldNames()).write.mode("append").parquet(path)
 
 
 def run_summary(runs: DataFrame) -> DataFrame:
