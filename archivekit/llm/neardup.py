@@ -13,7 +13,8 @@ its members with its smallest one, and once components are known, nodes that hol
 single component are left: no link in them could join anything new. A node whose
 members outside its main component are few compares those with everyone, which is
 linear in its size, and is done. What is still large at the deepest level is compared
-in tiles. Nothing is capped.
+exhaustively on full sets, in tiles that give no more links than connect their members.
+Nothing is capped.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,8 @@ from archivekit.operators.workspace import stage
 #: Minwise tokens of a set; 16 of them, at four bits each, fill one long.
 POSITIONS = 64
 LONGS = POSITIONS // 16
+#: Members on one side of a tile of a large node, and tokens compared at once there.
+TILE, _COLUMNS = 256, 4096
 _KEYS = np.random.default_rng(8).integers(1, 1 << 63, POSITIONS, dtype=np.uint64) | np.uint64(1)
 
 SKETCH = "struct<n: bigint, f1: bigint, f2: bigint, tokens: array<int>>"
@@ -166,26 +170,72 @@ def _few_with_all(held: DataFrame, cores: DataFrame, least: int) -> DataFrame:
     return met.select(F.least("m.id", "x.id").alias("a"), F.greatest("m.id", "x.id").alias("b"))
 
 
-def _tiled(big: DataFrame, limit: int, least: int) -> DataFrame:
-    """All pairs of large nodes, in tiles of about `limit` by `limit` members."""
-    tiles = F.ceil(F.col("size") / limit).cast("int")
+def _same_sets(size: int, percent: int):
+    """Exact comparison of a tile: the roots that links between its two sides join.
+
+    Enough of them are given to connect what the tile connects, so the answer never
+    outgrows the tile.
+    """
+
+    def run(tile: pd.DataFrame) -> pd.DataFrame:
+        n = tile["set"].map(len).to_numpy()
+        flat = np.concatenate([np.asarray(x, np.int64) for x in tile["set"]])
+        tokens, back, times = np.unique(flat, return_inverse=True, return_counts=True)
+        place = np.cumsum(times > 1) - 1  # a token of one set is in no intersection
+        row = np.repeat(np.arange(len(tile)), n)
+        held = times[back] > 1
+        row, column = row[held], place[back[held]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        shared = np.zeros((len(tile), len(tile)), np.float32)
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            i, j = np.searchsorted(column, [low, low + _COLUMNS])
+            part = np.zeros((len(tile), _COLUMNS), np.float32)
+            part[row[i:j], column[i:j] - low] = 1
+            shared += part @ part.T
+        union = n[:, None] + n[None, :] - shared
+        roots, root = np.unique(tile["root"].to_numpy(), return_inverse=True)
+        linked = (100 * shared >= percent * union) & (root[:, None] < root[None, :])
+        pairs = np.unique(np.stack([root[k] for k in np.nonzero(linked)], 1), axis=0)
+        parent, out = list(range(len(roots))), []
+        for x, y in pairs.tolist():
+            ends = []
+            for v in (x, y):
+                while parent[v] != v:
+                    parent[v] = parent[parent[v]]
+                    v = parent[v]
+                ends.append(v)
+            if ends[0] != ends[1]:
+                parent[max(ends)] = min(ends)
+                out.append((roots[x], roots[y]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _tiled(docs: DataFrame, big: DataFrame, size: int, percent: int, broadcast_ids: int) -> DataFrame:
+    """Links between components within large nodes, by full sets in tiles of bounded size."""
+    sets = _sets(docs, big.select(F.col("id").alias("doc_id")).distinct(), size, broadcast_ids)
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
     own = F.pmod(F.xxhash64("id", F.lit(5)), tiles).cast("int")
-    rows = big.select("node", "m", tiles.alias("k"), own.alias("own"))
-    rows = rows.select("node", "m", "own", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other"))
-    rows = rows.select("node", "m", "own", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"))
-    x, y = rows.alias("l"), rows.alias("r")
-    met = x.join(y, ["node", "s", "t"]).filter(
-        (F.col("l.m.id") < F.col("r.m.id")) & ((F.col("s") == F.col("t")) | (F.col("l.own") != F.col("r.own"))))
-    met = met.select(F.col("l.m").alias("x"), F.col("r.m").alias("y"))
-    return met.filter(_agreeing(F.col("x"), F.col("y")) >= least).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    rows = big.select("node", "id", "root", tiles.alias("k"), own.alias("own"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.select("node", "id", "root", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"))
+    return rows.join(sets, "id").groupBy("node", "s", "t").applyInPandas(_same_sets(size, percent), "a long, b long")
+
+
+def _sets(docs: DataFrame, ids: DataFrame, size: int, broadcast_ids: int) -> DataFrame:
+    """(id, set) of the documents with these distinct ids (doc_id), staged."""
+    ids = stage(ids, "ids")
+    ids = F.broadcast(ids) if ids.count() <= broadcast_ids else ids
+    some = docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), sets_udf(size)("text").alias("set"))
+    return stage(some.filter(F.size("set") > 0), "sets")
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int, broadcast_ids: int) -> DataFrame:
     """Of staged candidate pairs, those whose full sets reach the threshold."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    ids = F.broadcast(ids) if 2 * pairs.count() <= broadcast_ids else ids
-    some = docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), sets_udf(size)("text").alias("set"))
-    some = stage(some, "sets")
+    some = _sets(docs, ids, size, broadcast_ids)
     left = pairs.join(some.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
     both = left.join(some.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b")
     shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
@@ -195,7 +245,7 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int, broad
 
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, recall: float = 0.995, limit: int = 16,
-    few: int = 48, levels: int = 4, broadcast_ids: int = 2_000_000,
+    few: int = 48, levels: int | None = None, broadcast_ids: int = 2_000_000,
 ) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -225,6 +275,9 @@ def near_duplicates(
         F.col("doc_id").alias("b"))
     forced = stage(same.join(several, "b", "left_semi").select("a", "b"), "forced")
 
+    # Two levels sort out documents that share frequent shingles by chance, unless there
+    # are very many; what is large below them is dense.
+    levels = levels or max(2, math.ceil(math.log(max(2, reps.count()) / few) / math.log(500)))
     known = rows = None
     for level in range(1, levels + 1):
         if level == 1:
@@ -253,9 +306,7 @@ def near_duplicates(
             hub = big.groupBy("node").agg(F.min("m").alias("x"))
             met = big.select("node", F.col("m").alias("y")).join(hub, "node").filter(F.col("x.id") < F.col("y.id"))
             met = met.filter(_agreeing(F.col("x"), F.col("y")) >= least).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        else:
-            met = _tiled(big.withColumn("id", F.col("m.id")), few, least)
-        pairs = pairs.union(met)
+            pairs = pairs.union(met)
         if known is not None:
             pairs = _across(pairs, known).join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs.distinct(), f"pairs{level}")
@@ -264,6 +315,10 @@ def near_duplicates(
         rows = big.select("node", "id")
         if rows.isEmpty():
             break
+        if level == levels:
+            dense = big.drop("root").join(known.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+            more = stage(_tiled(docs, dense, size, percent, broadcast_ids).distinct(), "dense")
+            known = _joined(known, more)
 
     out = sketches.join(classes, ["f1", "f2", "n"], "left")
     out = out.join(known.withColumnRenamed("v", "id"), "id", "left")
@@ -292,6 +347,11 @@ def _settle(docs, pairs, forced, known, size, percent, broadcast_ids) -> DataFra
     if pairs.isEmpty():
         return known
     new = stage(_confirmed(docs, pairs, size, percent, broadcast_ids), "edges")
-    if new.isEmpty():
+    return _joined(known, new)
+
+
+def _joined(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """Components extended by staged edges."""
+    if edges.isEmpty():
         return known
-    return components(new.union(known.select(F.col("v").alias("a"), F.col("root").alias("b"))))
+    return components(edges.union(known.select(F.col("v").alias("a"), F.col("root").alias("b"))))

@@ -66,10 +66,12 @@ def test_components_equal_brute_force(spark, rng, size):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
-def test_tiles_find_what_is_still_large(spark, rng):
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_tiles_find_what_is_still_large(spark, rng, levels, monkeypatch):
+    monkeypatch.setattr(neardup, "TILE", 16)
     rows = corpus(rng, [(60, 8)], 10)
     _, want = brute(rows, 2)
-    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2, limit=4, few=4, levels=2).collect()
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=2, limit=4, few=4, levels=levels).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
