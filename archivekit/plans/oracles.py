@@ -290,6 +290,17 @@ _SHAPE = r"""
 
 _TYPE_OUT = "station_dir, day, n_dmx, n_ms, n_total, decided, recorder"
 
+_IMPORTED = """
+        SELECT DISTINCT CASE WHEN c.ord IS NULL THEN net ELSE 'VW' END AS net, r.sta,
+               CASE WHEN c.ord IS NULL THEN loc ELSE '00' END AS loc,
+               CASE WHEN c.ord IS NULL THEN r.cha ELSE 'CH' || right(r.cha, 1) END AS cha,
+               start_ts, end_ts, n_samples, rate, year(start_ts) AS year, dayofyear(start_ts) AS doy
+        FROM run_records r
+        JOIN run_channels f ON f.station_dir = r.station_dir AND f.day = r.day AND f.ord = 1
+             AND length(r.cha) = 3 AND left(r.cha, 2) = left(f.cha, 2)
+        LEFT JOIN run_channels c
+          ON c.station_dir = r.station_dir AND c.day = r.day AND c.stream_id = r.stream_id"""
+
 _BODIES = {
     "parse_names": """
         SELECT folder || '/' || name AS path, station_dir, day, name, day AS date, hhmm, ss, station, cha, ext,
@@ -507,16 +518,16 @@ _BODIES = {
           SELECT station, day, CAST(count(*) FILTER (contains(line, ' error ')) AS VARCHAR) AS error
           FROM lines GROUP BY ALL HAVING count(*) FILTER (contains(line, ' error ')) * 4 > count(*))
         USING (station, day)""",
-    "import_archive": """
-        SELECT DISTINCT CASE WHEN c.ord IS NULL THEN net ELSE 'VW' END AS net, r.sta,
-               CASE WHEN c.ord IS NULL THEN loc ELSE '00' END AS loc,
-               CASE WHEN c.ord IS NULL THEN r.cha ELSE 'CH' || right(r.cha, 1) END AS cha,
-               start_ts, end_ts, n_samples, rate, year(start_ts) AS year, dayofyear(start_ts) AS doy
-        FROM run_records r
-        JOIN run_channels f ON f.station_dir = r.station_dir AND f.day = r.day AND f.ord = 1
-             AND length(r.cha) = 3 AND left(r.cha, 2) = left(f.cha, 2)
-        LEFT JOIN run_channels c
-          ON c.station_dir = r.station_dir AND c.day = r.day AND c.stream_id = r.stream_id""",
+    "import_archive": _IMPORTED,
+    "import_one_day": f"{_IMPORTED} WHERE r.day = DATE '2024-01-15'",
+    "filed_payloads": """
+        SELECT 'AB' AS net, station_dir AS sta, '60' AS loc,
+               CASE WHEN station_dir = 'ST3' THEN ['CHZ', 'CHN', 'CHE'][event_id % 3 + 1]
+                    ELSE ['DLZ', 'DLN', 'DLE', 'DNZ', 'DNN', 'DNE'][event_id % 6 + 1] END AS cha,
+               ts AS start_ts, ts + to_seconds(1 + event_id % 120) AS end_ts,
+               100 * (1 + event_id % 120) AS n_samples, md5(props) AS digest,
+               min(folder || '/' || name) AS src_path
+        FROM listed GROUP BY ALL""",
 }
 
 ORACLES = {name: _with(body).strip() for name, body in _BODIES.items()}

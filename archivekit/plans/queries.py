@@ -27,6 +27,7 @@ SCALED = Params(
     expected=40, threshold_missing=5, min_files=80, min_count=20, stamp_min=3, tail_lines=5
 )
 PRESENT_BEFORE = "2024-01-11"
+ONE_DAY = "2024-01-15"
 
 
 def query(fn: Query) -> Query:
@@ -559,6 +560,26 @@ def crash_report(spark, folder):
     return runlog.crash_report(runs, lines, SCALED)
 
 
+@query
+def filed_payloads(spark, folder):
+    """The samples filed, by digest, and the source file they are credited to."""
+    root = new_folder(spark, "sds")
+    sink.write_sds(_raw_records(spark, folder), root)
+    filed = catalog.scan_sds(spark, root)
+    return filed.select(*R.RECORD_KEY, F.md5("payload").alias("digest"), "src_path")
+
+
+@query
+def import_one_day(spark, folder):
+    """The run for one day, on a record table stored by station and year."""
+    sds, table = new_folder(spark, "sds"), new_folder(spark, "records")
+    catalog.write_records(_raw_records(spark, folder), table)
+    recs = catalog.read_records(spark, table, partitioned=True)
+    archive.run_archive(
+        spark, _all(spark, folder), recs, sds, params=SCALED, start=ONE_DAY, end=ONE_DAY)
+    return catalog.scan_sds(spark, sds).select(*_SDS_OUT)
+
+
 @query
 def import_archive(spark, folder):
     """The whole run, repeated: choose, rename, file, log; the repeat writes nothing."""
