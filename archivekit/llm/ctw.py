@@ -165,6 +165,19 @@ def weighted_tree(counts: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
     return out
 
 
+def _size() -> Column:
+    return F.floor(F.log2("n")).cast("int").alias("b")
+
+
+def _least(sizes: dict[int, int], most: int) -> int:
+    """The least power of two that at most `most` counts reach; sizes: how many by power."""
+    least, total = 0, sum(sizes.values())
+    while total > most:
+        total -= sizes.get(least, 0)
+        least += 1
+    return least
+
+
 def bounded_model(levels: list[DataFrame], most_nodes: int = MOST_NODES) -> list[tuple[np.ndarray, np.ndarray]]:
     """Sorted keys and probabilities of each depth, at most about `most_nodes` together.
 
@@ -173,12 +186,9 @@ def bounded_model(levels: list[DataFrame], most_nodes: int = MOST_NODES) -> list
     """
     sizes: dict[int, int] = {}
     for level in levels[2:]:
-        for row in level.groupBy(F.floor(F.log2("n")).cast("int").alias("b")).count().collect():
+        for row in level.groupBy(_size()).count().collect():
             sizes[row["b"]] = sizes.get(row["b"], 0) + row["count"]
-    least, total = 0, sum(sizes.values())
-    while total > most_nodes:
-        total -= sizes.get(least, 0)
-        least += 1
+    least = _least(sizes, most_nodes)
     out = []
     for d, level in enumerate(levels):
         kept = level.filter(F.col("n") >= (1 << least)) if d >= 2 else level
@@ -301,7 +311,8 @@ def score_documents(docs: DataFrame, depth: int = DEPTH, most_nodes: int = MOST_
     texts = taught.count()
     tokens, kinds = in_words + texts, distinct + (texts > 0)
 
-    top = words.orderBy(F.desc("n"), "word").limit(most_words).toArrow()  # at most most_words pairs of numbers
+    sizes = {r["b"]: r["count"] for r in words.groupBy(_size()).count().collect()}
+    top = words.filter(F.col("n") >= 1 << _least(sizes, most_words)).toArrow()  # at most most_words pairs of numbers
     frequent = top["word"].to_numpy().view(np.uint64)
     order = np.argsort(frequent)
     model = bounded_model(weighted_tree(seen.filter(F.col("kind") == CODES).select("code", "n"), depth), most_nodes)
