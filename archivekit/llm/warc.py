@@ -89,7 +89,7 @@ def write_archive(pages: DataFrame, folder: str, least_bytes: int = 100, date: s
     known.select("record", "digest", "payload_bytes", _headers(date).alias("header")).write.mode("overwrite").parquet(
         f"{folder}/headers")
 
-    # The owner's payload alone moves: others are left before the shuffle by the join.
+    # Payloads move once, by record and digest: an even key, however many share a digest.
     keep = owners.select("digest", "first")
     both = pages.select("record", "payload", digest).join(
         keep.withColumnRenamed("first", "record"), ["record", "digest"], "left_semi")
