@@ -13,7 +13,6 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from archivekit.llm.merges import Merges
 #: Pieces up to this length go through the table many at a time.
 SIDE_BY_SIDE = 48
 #: Bounds of what a worker remembers: entries, and characters of one.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 64
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 _FILTER_BITS = 22
 
 #: Unicode's White_Space characters (fixed values).
@@ -198,9 +197,8 @@ class Prefixes:
         return np.array(out[::-1], np.int32)
 
 
-@lru_cache(2)
 def load(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(path, pattern)
+    return T.kept((path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def encode_udf(path: str, pattern: str) -> Column:

@@ -249,15 +249,9 @@ class Scorer:
         return out
 
 
-_HELD: dict[str, Scorer] = {}
-
-
 def _scorer(model) -> Scorer:
     key = hashlib.md5(b"".join(a.tobytes() for pair in model for a in pair)).hexdigest()
-    if key not in _HELD:
-        _HELD.clear()
-        _HELD[key] = Scorer(model)
-    return _HELD[key]
+    return T.kept(key, lambda: Scorer(model))
 
 
 _SCORED = [("n_tokens", pa.int64()), ("known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.int64()))]

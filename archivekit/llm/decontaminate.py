@@ -225,16 +225,10 @@ def match_udf(block, percent: int) -> Column:
     return match
 
 
-_HELD: dict[str, Block] = {}
-
-
 def _loaded(block) -> Block:
     ids, words, ends = block.value
     key = hashlib.md5(words.tobytes() + ids.tobytes()).hexdigest()
-    if key not in _HELD:
-        _HELD.clear()
-        _HELD[key] = Block({int(k): words[ends[i] : ends[i + 1]] for i, k in enumerate(ids)})
-    return _HELD[key]
+    return T.kept(key, lambda: Block({int(k): words[ends[i] : ends[i + 1]] for i, k in enumerate(ids)}))
 
 
 def blocks_of(benchmark: DataFrame, size: int = BLOCK) -> Iterator:

@@ -12,12 +12,13 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from archivekit.llm import text as T
+
 #: Wordings of well-known licenses and notices (fixed values).
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -156,9 +157,8 @@ class Scanner:
             out.append({"license": name, "begin": at, "end": at + len(block), "reduction": saved, "rank": rank, "edits": edits, "likeness": likeness})
 
 
-@lru_cache(4)
 def _scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
-    return Scanner(dict(templates))
+    return T.kept(templates, lambda: Scanner(dict(templates)))
 
 
 FOUND = "array<struct<license: string, begin: bigint, end: bigint, reduction: double, rank: int, edits: int, likeness: double>>"

@@ -41,8 +41,8 @@ class Merges:
         self._pairs, self._joined = keys[order], made[order]
         self._at, self._inner = self.made.tolist(), list(zip(self.left.tolist(), self.right.tolist()))
         self._joins = {self._inner[i]: i for i in made.tolist()}
-        self._seen = np.zeros(1 << 22, np.int64)
-        self._fits = np.zeros(1 << 22, bool)
+        self._seen = np.zeros(1 << 21, np.int64)
+        self._fits = np.zeros(1 << 21, bool)
 
     def merge(self, text) -> list:
         """Plain merging, the definition of the encoding."""
@@ -71,7 +71,7 @@ class Merges:
     def apart(self, u: np.ndarray, t: np.ndarray) -> np.ndarray:
         """Whether encoding leaves token `u` directly before token `t`."""
         keys = u.astype(np.int64) << 32 | t.astype(np.int64)
-        slot = ((keys * 0x9E3779B1 ^ keys >> 15) & 0x3FFFFF).astype(np.int64)
+        slot = ((keys * 0x9E3779B1 ^ keys >> 15) & 0x1FFFFF).astype(np.int64)
         miss = np.flatnonzero(self._seen[slot] != keys + 1)
         out = self._fits[slot]
         if miss.size:

@@ -18,12 +18,12 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from archivekit.llm import text as T
 from archivekit.llm.merges import Merges
 from archivekit.operators.workspace import stage
 
@@ -192,9 +192,8 @@ class Transducer:
         return self.total(maps[0]) if maps else 0
 
 
-@lru_cache(2)
 def load(path: str) -> Transducer:
-    return Transducer(path)
+    return T.kept(path, lambda: Transducer(path))
 
 
 def count_udf(path: str) -> Column:

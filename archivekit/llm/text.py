@@ -26,6 +26,21 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """What a Python worker keeps between tasks: the thing of one key, whoever asks.
+
+    Workers are used again by later jobs. Another operator's tables and memory would add
+    to those of the one at work, so they go when another key is asked for.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * _M1

@@ -54,7 +54,7 @@ _NOISY = re.compile(
 _EDGES = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "«»“”‘’…–—"
 #: Longer runs are names, keys or junk; they are their own reading.
 LONGEST_WORD = 64
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def trigram_udf():
@@ -190,16 +190,9 @@ class Decoder:
         return {term for token in self.tokens(text) for term in self.token_terms(token)}
 
 
-_HELD: dict[str, Decoder] = {}
-
-
 def _decoder(model) -> Decoder:
     """One decoder for each broadcast model in a worker."""
-    key = str(hash(model.value.tobytes()))
-    if key not in _HELD:
-        _HELD.clear()
-        _HELD[key] = Decoder(model.value)
-    return _HELD[key]
+    return T.kept(hash(model.value.tobytes()), lambda: Decoder(model.value))
 
 
 def terms_udf(model):
