@@ -34,10 +34,10 @@ DEPTH = 5
 #: The closing symbol, a byte that no UTF-8 text holds.
 END = 0xFF
 #: Nodes that a scoring task holds at most, and words whose counts it holds.
-MOST_NODES, MOST_WORDS = 3_000_000, 1 << 19
+MOST_NODES, MOST_WORDS = 2_000_000, 1 << 19
 #: Slots in which a worker remembers the cost of a byte in its context.
-SLOTS = 1 << 22
-_SLICE = 1 << 22
+SLOTS = 1 << 21
+_SLICE = 1 << 20
 CODES, WORDS = 0, 1
 
 
@@ -95,9 +95,9 @@ def _counts(depth: int):
                 hashes, _, _ = T.words(data, offsets)
                 held[WORDS].append(np.unique(hashes, return_counts=True))
                 for k, parts in held.items():
-                    if len(parts) > 1 and sum(len(x) for x, _ in parts[1:]) > len(parts[0][0]) + 500_000:
+                    if len(parts) > 1 and sum(len(x) for x, _ in parts[1:]) > len(parts[0][0]) // 2 + 300_000:
                         held[k] = parts = [_merged(parts)]
-                    if len(parts[0][0]) > 4_000_000:
+                    if len(parts[0][0]) > 2_000_000:
                         yield from emit(k, parts)
                         held[k] = []
         for k, parts in held.items():
