@@ -209,6 +209,18 @@ def test_scores_equal_the_definition(spark, odd):
         assert r["score"] == pytest.approx(log10(re.sub("[A-Z]", lambda m: m[0].lower(), texts[r["doc_id"]] or "")), abs=1e-3)
 
 
+def test_codes_outside_the_common_ones_have_whole_contexts(spark):
+    # Contexts of five bytes seen once, and a held-out text that knows them in part only.
+    texts = ["quick brown fox", "lazy dogs sleep", "quick brown cat", "some zebra quilt", "lazy foxes", "quilted fox", "zzzz"]
+    rows = list(enumerate(texts * 2))
+    log10 = brute_ctw([t for k, t in rows if zlib.crc32(str(k).encode()) % 7 != 2], 5)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (0, 20):
+        got = ctw.score_documents(frame, depth=5, most_codes=most).collect()
+        assert len(got) == len(rows) and any(r["held_out"] for r in got)
+        assert all(r["score"] == pytest.approx(log10(texts[r["doc_id"] % 7]), abs=1e-6) for r in got)
+
+
 def test_each_context_is_a_distribution(spark):
     rows = spark.createDataFrame([(k, t) for k, t in enumerate(["abab abba", "abc", "bca"])], "doc_id long, text string")
     data, offsets = ctw.T.raw(__import__("pyarrow").array(["abab abba", "abc"]))
