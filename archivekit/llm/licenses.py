@@ -1,18 +1,22 @@
 """License statements in texts by conditional compression.
 
-A text is cut into blocks: paragraphs, and the lines of each. Blocks that hold a cue
-are candidates. Each is compressed by zstandard alone and with every template as raw
+A text is cut into paragraphs; those that hold a cue are candidates. Every template is
+compared by its exact wording with every window of its size that has enough of its
+words: the words that must be put in, taken out or changed between the template and a
+stretch of the paragraph. Of the stretches near enough, the likest that do not overlap
+are given. Each is compressed by zstandard alone and with every template as raw
 dictionary; the share of bytes a template saves ranks the templates. Compression only
-ranks: the best ones are confirmed by the exact wording, as the words that must be
-put in, taken out or changed between the template and the closest stretch of the block.
+ranks: it leaves no template out.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,24 +71,23 @@ TEMPLATES = {
 CUE = re.compile(r"licen[sc]|copyright|permission|permitted|warrant|redistribut|public domain|free software|cc0|\bcc by", re.I)
 _BLOCK = re.compile(r"[^\n]*(?:\n(?![ \t\r]*\n)[^\n]*)*")
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
-#: Templates that are looked at word by word for each block.
-CLOSEST = 3
-
 
 def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def differences(template: list[str], block: list[str]) -> tuple[int, int, int]:
-    """Least word edits from the template to a stretch of the block, and that stretch."""
-    cost = [(0, j) for j in range(len(block) + 1)]
+def stretches(template: list[str], block: list[str], most: int) -> list[tuple[int, int, int]]:
+    """For each end of a stretch of the block within `most` word edits of the template: edits, begin, end.
+
+    Of begins with equal edits it is the last one.
+    """
+    cost = [(0, -j) for j in range(len(block) + 1)]
     for i, w in enumerate(template):
         row = [(i + 1, 0)]
         for j, v in enumerate(block):
             row.append(min((cost[j][0] + (w != v), cost[j][1]), (cost[j + 1][0] + 1, cost[j + 1][1]), (row[j][0] + 1, row[j][1])))
         cost = row
-    edits, end = min((c[0], j) for j, c in enumerate(cost))
-    return edits, cost[end][1], end
+    return [(edits, -begin, end) for end, (edits, begin) in enumerate(cost) if edits <= most and -begin < end]
 
 
 class Scanner:
@@ -100,6 +103,10 @@ class Scanner:
         for n in self.names:
             data = zstandard.ZstdCompressionDict(" ".join(self.words[n]).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self._with[n] = zstandard.ZstdCompressor(level=level, dict_data=data, write_checksum=False, write_content_size=False)
+        self._number = {w: k for k, w in enumerate(sorted({w for ws in self.words.values() for w in ws}), 1)}
+        self._holds = {n: np.zeros(len(self._number) + 1, bool) for n in self.names}
+        for n in self.names:
+            self._holds[n][[self._number[w] for w in self.words[n]]] = True
         self._known: dict[str, list] = {}
 
     def reductions(self, block: str) -> list[tuple[float, str]]:
@@ -108,53 +115,82 @@ class Scanner:
         alone = len(self._plain.compress(data))
         return sorted(((1 - len(self._with[n].compress(data)) / alone, n) for n in self.names), key=lambda x: (-x[0], x[1]))
 
-    def winners(self, block: str, least: float) -> list[tuple[str, float, int, int, float]]:
-        """(license, reduction, rank, edits, likeness) of a block's confirmed wordings, the likest first."""
-        found, said = [], words(block)
-        held = Counter(said)
-        for rank, (saved, name) in enumerate(self.reductions(block)[:CLOSEST], 1):
-            target = self.words[name]
-            # No stretch is nearer than the words that the block lacks altogether.
-            if (Counter(target) - held).total() > (1 - least) * len(target):
-                continue
-            edits = differences(target, said)[0]
-            likeness = 1 - edits / len(target)
-            if likeness >= least:
-                found.append((name, saved, rank, edits, likeness))
-        return sorted(found, key=lambda x: (-x[4], -len(self.words[x[0]]), x[0]))
+    def _near(self, name: str, said: list[str], numbers: np.ndarray, least: float) -> Iterator[tuple[int, int, int]]:
+        """Stretches of `said` near one template.
+
+        A stretch with at most `most` edits lies in a window of so many words more than the
+        template, and all but so many of the template's words are in it: no other is compared.
+        """
+        target = self.words[name]
+        most = int((1 - least) * len(target) + 1e-9)
+        size, need = len(target) + most, len(target) - most
+        sums = np.concatenate([[0], np.cumsum(self._holds[name][numbers])])
+        begins = np.arange(len(said))
+        begins = begins[sums[np.minimum(begins + size, len(said))] - sums[begins] >= need]
+        if not len(begins):
+            return
+        cuts = np.flatnonzero(np.diff(begins) > size) + 1
+        for run in np.split(begins, cuts):
+            low, high = int(run[0]), min(int(run[-1]) + size, len(said))
+            if (Counter(target) - Counter(said[low:high])).total() <= most:
+                for edits, begin, end in stretches(target, said[low:high], most):
+                    yield edits, low + begin, low + end
+
+    def winners(self, said: list[str], least: float) -> list[tuple[str, float, int, int, float, int, int]]:
+        """(license, reduction, rank, edits, likeness, first word, end) of confirmed stretches that do not overlap, in order.
+
+        The likest are taken first, then what is left between them is searched again.
+        """
+        numbers = np.array([self._number.get(w, 0) for w in said], np.int64)
+        found, todo = [], [(0, len(said))]
+        while todo:
+            low, high = todo.pop()
+            near = [
+                (1 - edits / len(self.words[n]), n, edits, low + begin, low + end)
+                for n in self.names for edits, begin, end in self._near(n, said[low:high], numbers[low:high], least)]
+            taken: list[tuple[int, int]] = []
+            for likeness, name, edits, begin, end in sorted(near, key=lambda x: (-x[0], -len(self.words[x[1]]), x[1], x[3])):
+                at = bisect(taken, (begin, end))
+                if (at and taken[at - 1][1] > begin) or (at < len(taken) and taken[at][0] < end):
+                    continue
+                taken.insert(at, (begin, end))
+                saved = self.reductions(" ".join(said[begin:end]))
+                rank = next(k for k, (_, n) in enumerate(saved) if n == name)
+                found.append((name, saved[rank][0], rank + 1, edits, likeness, begin, end))
+            if taken:
+                todo += [(a, b) for a, b in zip([low, *(e for _, e in taken)], [*(b for b, _ in taken), high]) if a < b]
+        return sorted(found, key=lambda x: x[5])
 
     def scan(self, text: str, least: float) -> list[dict]:
-        """Confirmed licenses of a text: the likest wording of each block, by paragraph or else by line."""
+        """Confirmed licenses of a text, each with the line it stands in, or else its paragraph."""
         out: list[dict] = []
         if not CUE.search(text):
             return out
         for m in _BLOCK.finditer(text):
-            if not m[0] or not CUE.search(m[0]):
-                continue
-            at, lines = m.start(), []
-            for line in m[0].splitlines(keepends=True):
-                if CUE.search(line):
-                    self._add(lines, line.rstrip("\r\n"), at, least)
-                at += len(line)
-            # A wording broken over lines shows whole in its paragraph alone.
-            whole: list[dict] = []
-            if "\n" in m[0] and not any(x["edits"] == 0 for x in lines):
-                self._add(whole, m[0], m.start(), least)
-            better = whole and all(x["license"] == whole[0]["license"] and x["edits"] > whole[0]["edits"] for x in lines)
-            out += whole if better else lines
+            if m[0] and CUE.search(m[0]):
+                for name, saved, rank, edits, likeness, begin, end in self._winners(m[0], least):
+                    out.append({
+                        "license": name, "begin": m.start() + begin, "end": m.start() + end, "reduction": saved, "rank": rank,
+                        "edits": edits, "likeness": likeness})
         return out
 
-    def _add(self, out: list[dict], block: str, at: int, least: float) -> None:
+    def _winners(self, block: str, least: float) -> list[tuple]:
+        """`winners` of a block with memory, with characters in place of words."""
         known = self._known.get(block)
         if known is None:
-            known = self.winners(block, least)
+            places, lines = [w.span() for w in _WORD.finditer(block)], [0]
+            for line in block.splitlines(keepends=True):
+                lines.append(lines[-1] + len(line))
+            known = []
+            for *what, begin, end in self.winners([block[a:b].lower() for a, b in places], least):
+                at = bisect(lines, places[begin][0]) - 1
+                low, high = (lines[at], lines[at + 1]) if places[end - 1][1] <= lines[at + 1] else (0, len(block))
+                known.append((*what, low, low + len(block[low:high].rstrip("\r\n"))))
             if len(block) <= 400:
                 if len(self._known) > 50_000:
                     self._known.clear()
                 self._known[block] = known
-        if known:
-            name, saved, rank, edits, likeness = known[0]
-            out.append({"license": name, "begin": at, "end": at + len(block), "reduction": saved, "rank": rank, "edits": edits, "likeness": likeness})
+        return known
 
 
 def _scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
@@ -179,12 +215,13 @@ def scan_udf(templates: dict[str, str], least: float) -> Column:
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:
-    """One row per confirmed block of `docs` (doc_id, text).
+    """One row per confirmed stretch of `docs` (doc_id, text).
 
-    Gives doc_id, license, begin and end (characters of the block), reduction, rank (of
-    the template by reduction), edits (words) and likeness (1 - edits / its words). Null
-    and empty texts give no row; repeated rows give repeated rows; of templates alike in
-    likeness the longer, then the first by name is given.
+    Gives doc_id, license, begin and end (characters of the line that holds the stretch,
+    or of the paragraph if it is broken over lines), reduction, rank (of the template by
+    reduction), edits (words) and likeness (1 - edits / its words). Null and empty texts
+    give no row; repeated rows give repeated rows. Of stretches that overlap the likest,
+    of those alike the one of the longer template, then of the first by name is given.
     """
     found = scan_udf(templates or TEMPLATES, least)(F.col("text").cast("string"))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(found).alias("f")).select("doc_id", "f.*")

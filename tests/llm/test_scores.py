@@ -150,6 +150,20 @@ def test_licenses_by_compression_and_wording(spark, empty):
     assert licenses.license_scan(empty).count() == 0
 
 
+def test_every_license_of_long_lines_and_of_one_line(rng):
+    scan = licenses.Scanner(licenses.TEMPLATES).scan
+    noise = [f"word{k}" for k in range(2000)] + "the of and to in under this license software".split()
+    for name, wording in licenses.TEMPLATES.items():
+        for n in (50, 2500):
+            line = [rng.choice(noise) for _ in range(n)]
+            got = scan(" ".join([*line, wording, *line]), 0.8)
+            assert (name, 0) in {(x["license"], x["edits"]) for x in got}, (name, n, got)
+    text = "Licensed under the Apache License, Version 2.0. Released under the MIT License."
+    assert [(x["license"], x["edits"]) for x in scan(text, 0.8)] == [("Apache-2.0", 0), ("MIT", 0)]
+    text = "Released under the\nMIT License. Licensed under CC BY-NC 4.0.\nunder the MIT License"
+    assert [(x["license"], x["edits"]) for x in scan(text, 0.8)] == [("MIT", 0), ("CC-BY-NC-4.0", 0), ("MIT", 1)]
+
+
 # --- context-tree weighting --------------------------------------------------
 
 def brute_ctw(texts, depth):
