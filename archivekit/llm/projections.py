@@ -4,8 +4,10 @@ In each pass, every vector gets a key: the signs of its products with random dir
 one after the other. Sorted by label and key, vectors of small angle tend to stand near
 each other, and each is compared with its next `window` neighbours. The passes needed
 for a target recall follow from the number of vectors: the more there are, the more
-signs two vectors must share to stand within a window. Verified pairs of all passes are
-united into components.
+signs two vectors must share to stand within a window. Where more vectors than a window
+holds share so many signs, all of them are compared, in tiles of bounded size that give
+only what connects them: so the recall holds in dense labels too. Verified pairs of all
+passes are united into components.
 
 A window is bounded, but the links of a component are not: once components are known,
 the vectors of each are compared with all of it, in tiles of bounded size, so links
@@ -33,11 +35,15 @@ BITS = 60
 BLOCK, TILE = 4096, 1024
 
 
+def signs_for(vectors: int, window: int) -> float:
+    """Signs that leave about `window` of so many vectors together, if they are spread evenly."""
+    return max(1.0, math.log2(max(2.0, vectors / window)))
+
+
 def passes_for(vectors: int, window: int, cosine: float, recall: float) -> int:
-    """Passes that bring two vectors at the threshold into one window with probability `recall`."""
+    """Passes of which one gives two vectors at the threshold equal `signs_for` with probability `recall`."""
     share = 1 - math.acos(cosine) / math.pi
-    signs = max(1.0, math.log2(max(2.0, vectors / window)))
-    return max(2, math.ceil(math.log(1 - recall) / math.log(1 - share**signs)))
+    return max(2, math.ceil(math.log(1 - recall) / math.log(1 - share ** signs_for(vectors, window))))
 
 
 def _matrix(column) -> np.ndarray:
@@ -90,6 +96,64 @@ def _neighbours(window: int, cosine: float):
     return run
 
 
+def _forest(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """As few of the near pairs of two sides as connect what all of them connect."""
+    turned, rows, columns, links = near.T.copy(), near.any(1), np.ones(len(right), bool), []
+    for i in np.flatnonzero(rows):
+        if not rows[i]:
+            continue
+        rows[i], todo = False, [i]
+        while todo:
+            r = todo.pop()
+            for c in np.flatnonzero(near[r] & columns):
+                columns[c] = False
+                links.append((left[r], right[c]))
+                more = np.flatnonzero(turned[c] & rows)
+                rows[more] = False
+                links += [(left[m], right[c]) for m in more]
+                todo += more.tolist()
+    return links
+
+
+def _connected(cosine: float):
+    """Verified pairs that connect the vectors of each tile of a run of equal signs."""
+
+    def run(tiles: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        for _, rows in tiles.groupby(["tile", tiles["v"].map(len)], sort=False):
+            left, right = rows[rows["here"] == rows["s"]], rows[rows["here"] == rows["t"]]
+            if not len(left) or not len(right):
+                continue
+            near = _matrix(left["v"]) @ _matrix(right["v"]).T >= cosine
+            if rows["s"].iloc[0] == rows["t"].iloc[0]:
+                np.fill_diagonal(near, False)
+            links += _forest(near, left["id"].to_numpy(), right["id"].to_numpy())
+        pairs = np.unique(np.sort(np.array(links, np.int64).reshape(-1, 2), axis=1), axis=0)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return run
+
+
+def _dense_pairs(keyed: DataFrame, vectors: int, window: int, cosine: float) -> DataFrame:
+    """Pairs within runs of equal label and first signs that are longer than a window, in every pass."""
+    run = ["p", "label", "prefix"]
+    keyed = keyed.withColumn("prefix", F.shiftright("key", BITS - int(signs_for(vectors, window))))
+    # A run may hold a great part of all rows: its size goes to them in slices.
+    slices = 16
+    long_runs = keyed.groupBy(run).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > window + 1)
+    long_runs = long_runs.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    rows = keyed.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")).join(long_runs, [*run, "slice"])
+    rows = rows.withColumn("k", F.ceil(F.col("size") / TILE).cast("int"))
+    rows = rows.withColumn("here", F.pmod(F.xxhash64("id", "p"), F.col("k")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    rows = rows.withColumn("s", F.least("here", "other")).withColumn("t", F.greatest("here", "other"))
+    rows = rows.withColumn("tile", F.xxhash64(*run, "s", "t"))
+    crowd = max(1, -(-vectors // (4 * TILE))) * 4
+    bucket = F.when(F.col("k") > 1, F.col("tile")).otherwise(F.pmod("tile", F.lit(crowd)))
+    return rows.select(bucket.alias("bucket"), "tile", "here", "s", "t", "id", "v").groupBy("bucket").applyInPandas(
+        _connected(cosine), "a long, b long")
+
+
 def _tile(cosine: float):
     """Links of each vector within a tile: the rows of one side against the other."""
 
@@ -168,7 +232,7 @@ def near_vectors(
     both = F.when((rest < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
     pairs = ranked.withColumn("block", F.explode(both)).groupBy("block").applyInPandas(
         _neighbours(window, cosine), "a long, b long")
-    pairs = stage(pairs.distinct(), "pairs")
+    pairs = stage(pairs.union(_dense_pairs(keyed, n, window, cosine)).distinct(), "pairs")
 
     # Components over classes, and over classes that share a vec_id.
     numbered = members.join(classes.select("class", "id"), "class")

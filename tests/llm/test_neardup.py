@@ -137,3 +137,19 @@ def test_vectors_that_link_with_nothing(spark):
 def test_more_vectors_need_more_passes():
     assert projections.passes_for(10**7, 32, 0.98, 0.99) > projections.passes_for(10**4, 32, 0.98, 0.99)
     assert neardup.trees_for(0.8, 0.999) > neardup.trees_for(0.8, 0.9)
+
+
+def test_pairs_in_a_dense_label_of_unlinked_vectors(spark, monkeypatch):
+    # Vectors at cosine 0.9 to one another fill every window; the planted pairs are at 0.982.
+    monkeypatch.setattr(projections, "TILE", 256)
+    random = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    apart = lambda x, cosine: cosine * x + math.sqrt(1 - cosine**2) * unit((y := random.normal(size=x.shape)) - (x * y).sum(-1, keepdims=True) * x)
+    middle = unit(random.normal(size=64))
+    group = apart(np.tile(middle, (2000, 1)), math.sqrt(0.93))
+    pairs = apart(group[:200], 0.982)
+    rows = [(k, v.tolist(), 1) for k, v in enumerate([*group, *pairs])]
+    got = {r["vec_id"]: r for r in projections.near_vectors(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long"), window=8, recall=0.99).collect()}
+    assert len(got) == len(rows)
+    assert sum(got[2000 + k]["component_id"] == got[k]["component_id"] for k in range(200)) >= 196
