@@ -46,14 +46,14 @@ SEPARATORS = ".-_*~'`^,:;/\\"
 SIGN, STRETCH, SEPARATE, KEEP = 1.0, 0.5, 0.7, 4.0
 
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
-#: Four or more single characters with a blank or separator between them.
-_SPACED = re.compile(rf"(?<![^\s])(?:[^\s](?:[ ]|[{re.escape(SEPARATORS)}])){{3,}}[^\s](?![^\s{re.escape(SEPARATORS)}!?])")
+#: Three or more single characters with a blank or separator between them.
+_SPACED = re.compile(rf"(?<![^\s])(?:[^\s](?:[ ]|[{re.escape(SEPARATORS)}])){{2,}}[^\s](?![^\s{re.escape(SEPARATORS)}!?])")
 #: A word worth a lattice: a letter beside a sign or separator, or a stretched letter.
 _NOISY = re.compile(
     rf"[^\W\d_][{re.escape(''.join(SIGNS))}{re.escape(SEPARATORS)}]+[^\W_]|[{re.escape(''.join(SIGNS))}][^\W\d_]|[^\W\d_][{re.escape(''.join(SIGNS))}]$|(\w)\1\1")
 _EDGES = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "«»“”‘’…–—"
-#: Longer runs are names, keys or junk; they are their own reading.
-LONGEST_WORD = 64
+#: Longer words are decoded anew each time, so that memory stays bounded.
+LONGEST_REMEMBERED = 64
 REMEMBERED = 200_000
 
 
@@ -136,9 +136,10 @@ class Decoder:
     def decode(self, word: str) -> str:
         """The likeliest reading of one word in lower case."""
         model, other = self.model, _OTHER
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # A reading is its last letters and the reading before it: work is linear in length.
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for ways in self.lattice(word):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, said) in best.items():
                 for letters, cost in ways:
                     x, y, total = a, b, score - cost
@@ -148,14 +149,20 @@ class Decoder:
                         x, y = y, z
                     old = after.get((x, y))
                     if old is None or total > old[0]:
-                        after[x, y] = total, said + letters
+                        after[x, y] = total, (said, letters)
             best = after
-        return max((score + model[x][y][0], said) for (x, y), (score, said) in best.items())[1]
+        said, out = max(((score + model[x][y][0], said) for (x, y), (score, said) in best.items()), key=lambda x: x[0])[1], []
+        while said:
+            said, letters = said
+            out.append(letters)
+        return "".join(reversed(out))
 
     def restored(self, word: str) -> str:
         """`decode` with memory; words without noise are their own reading."""
-        if len(word) > LONGEST_WORD or not _NOISY.search(word):
+        if not _NOISY.search(word):
             return word
+        if len(word) > LONGEST_REMEMBERED:
+            return self.decode(word)
         said = self._read.get(word)
         if said is None:
             if len(self._read) > REMEMBERED:
@@ -170,7 +177,7 @@ class Decoder:
 
     def _joined(self, spaced: str) -> str:
         chars = spaced[::2]
-        return self.decode(spaced) if len(spaced) <= 2 * LONGEST_WORD and len(set(chars)) > 2 else spaced
+        return self.decode(spaced) if len(set(chars)) > 2 else spaced
 
     def token_terms(self, token: str) -> tuple[str, ...]:
         """The restored words in one lower-case token, and the first four and five letters of longer ones."""

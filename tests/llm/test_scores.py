@@ -43,6 +43,21 @@ def test_held_out_rows_and_obfuscated_words(labelled):
     assert all(got[k]["predicted"] == 0 and 0 <= got[k]["score"] <= 1 for k in (2000, 2001, 2002))
 
 
+def test_long_and_short_spaced_runs_are_decoded():
+    words = "you are such an idiot and the whole river bank knows that you are an idiot".split()
+    table = np.full((64, 64, 64), -9.0, np.float32)
+    for w in [*words, "bad"]:
+        z = [0, 0, *(toxicity._CODE[c] for c in w), 0, 0]
+        for x in zip(z, z[1:], z[2:]):
+            table[x] = -1.0
+    decoder = toxicity.Decoder(table)
+    spaced = ".".join("idiot" * 20)
+    assert len(spaced) > 128 and decoder.restored(spaced) != spaced
+    assert "idiot" * 20 in decoder.terms(spaced)
+    assert decoder.restore("b a d") == "bad"
+    assert decoder.restored("i" + "d" * 100 + "iot") == "idiot"
+
+
 def test_labels_of_held_out_rows_are_not_used(labelled):
     docs, labels = labelled
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
