@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from archivekit.llm import bytebpe, ctw, decontaminate, licenses, neardup, piececount, projections, shards, toxicity, warc
+from archivekit.llm import (
+    bytebpe, conversations, ctw, decontaminate, divergence, licenses, neardup, piececount, projections, redirects, shards,
+    toxicity, warc,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -68,6 +71,18 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", n_bytes, "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op11_source_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+def op12_redirect_equivalence(spark: SparkSession, folder: str) -> DataFrame:
+    return redirects.judge(table(spark, folder, "pages"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_damaged(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -79,8 +94,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_context_tree_weighting": op9_context_tree_weighting,
     "op10_token_counts": op10_token_counts,
+    "op11_source_divergence_audit": op11_source_divergence_audit,
+    "op12_redirect_equivalence": op12_redirect_equivalence,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+# Rules of `redirects.RULES`, longest first, as a SQL expression of host and path.
+_RULED = "CASE " + " ".join(
+    f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p} {v}'"
+    for h, p, v in sorted(redirects.RULES, key=lambda r: (-len(r[0] + r[1]), r[2] != "allow"))
+) + " END"
+_HOST = f"translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), {_LOWER})"
+_PATH = "regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op3_content_addressed_warc": """
@@ -95,4 +123,80 @@ ORACLES: dict[str, str] = {
                CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
         FROM f""",
+    "op11_source_divergence_audit": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), {_LOWER}),
+                                      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+            FROM documents
+        ), w AS (SELECT doc, lang, source, unnest(terms) AS term FROM d),
+        k AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT doc) >= 30),
+        c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+        g AS (
+            SELECT lang, source, coalesce(any_value(v), 0) AS v, coalesce(sum(n), 0) AS total
+            FROM (SELECT DISTINCT lang, source FROM d)
+            LEFT JOIN (SELECT lang, count(*) AS v FROM k GROUP BY lang) USING (lang)
+            LEFT JOIN c USING (lang, source) GROUP BY lang, source
+        ), dense AS (
+            SELECT lang, source, term, coalesce(n, 0) AS n,
+                   1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p
+            FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)
+        ), whole AS (
+            SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (any_value(lang_total) + 5 * any_value(v)) AS q
+            FROM c JOIN (SELECT lang, sum(n) AS lang_total FROM c GROUP BY lang) USING (lang)
+                   JOIN (SELECT DISTINCT lang, v FROM g) USING (lang)
+            GROUP BY lang, term
+        ), pairs AS (
+            SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN dense x ON x.lang = a.lang AND x.source = a.source
+            LEFT JOIN dense y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+            GROUP BY ALL
+        ), found AS (
+            SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL
+            SELECT lang, source, 'term', term, p - q FROM dense JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM found
+        )
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 50""",
+    "op12_redirect_equivalence": f"""
+        WITH RECURSIVE tags AS (
+            SELECT url AS base, unnest(regexp_extract_all(regexp_replace(html,
+                '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', ' ', 'g'),
+                '(?is)<(?:link|meta)\\s[^>]*>')) AS tag
+            FROM pages WHERE contains(url, '://')
+        ), said AS (
+            SELECT base, trim(replace(CASE
+                WHEN regexp_matches(tag, '(?is)^<link\\s.*?\\brel\\s*=\\s*["'']?\\s*canonical\\s*(?:["'']|\\s|/?>)')
+                THEN regexp_extract(tag, '(?is)\\shref\\s*=\\s*["'']?([^\\s"''>]*)', 1)
+                WHEN regexp_matches(tag, '(?is)^<meta\\s.*?\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\s*(?:["'']|\\s|/?>)')
+                THEN regexp_extract(tag, '(?is)\\scontent\\s*=\\s*["'']\\s*[0-9.]+\\s*[;,]\\s*url\\s*=\\s*["'']?([^"'']*)', 1)
+                END, '&amp;', '&')) AS link FROM tags
+        ), resolved AS (
+            SELECT split_part(base, '#', 1) AS src, split_part(CASE
+                WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+                WHEN starts_with(link, '//') THEN regexp_extract(base, '^(.*?)://', 1) || ':' || link
+                WHEN starts_with(link, '/') THEN regexp_extract(base, '^(.*?://[^/?#]*)', 1) || link
+                WHEN starts_with(link, '?') THEN regexp_extract(base, '^([^?#]*)', 1) || link
+                ELSE regexp_extract(base, '^(.*?://[^/?#]*)', 1)
+                     || coalesce(nullif(regexp_extract(base, '^.*?://[^/?#]*([^?#]*/)', 1), ''), '/') || link
+                END, '#', 1) AS dst
+            FROM said WHERE link <> ''
+        ), edges AS (SELECT src AS a, dst AS b FROM resolved UNION SELECT dst, src FROM resolved),
+        reach AS (
+            SELECT a, a AS b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a
+        ), ruled AS (
+            SELECT url AS node, {_RULED} AS rule FROM (SELECT url, {_HOST} AS host, {_PATH} AS path FROM (SELECT DISTINCT a AS url FROM edges))
+        ), caught AS (
+            SELECT DISTINCT reach.a AS node FROM reach JOIN ruled ON reach.b = ruled.node WHERE ends_with(rule, ' block')
+        ), judged AS (
+            SELECT page_id, host, path, {_RULED} AS own, node FROM (
+                SELECT page_id, coalesce({_HOST}, '') AS host, coalesce({_PATH}, '') AS path,
+                       CASE WHEN contains(url, '://') THEN split_part(url, '#', 1) END AS node FROM pages)
+        )
+        SELECT page_id, host, path, split_part(own, ' ', 1) AS rule,
+               coalesce(split_part(own, ' ', 2), CASE WHEN caught.node IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+        FROM judged LEFT JOIN caught USING (node)""",
 }
