@@ -183,6 +183,47 @@ def apply_wildcard_rename(records: DataFrame, rules: str | list[RenameRule]) ->
     ).drop("_rule")
 
 
+def stream_targets(streams: DataFrame, rules: DataFrame) -> DataFrame:
+    """Each stream's target parts by the first rule (lowest `ord`) that fits it.
+
+    `rules` has `ord`, `src` and `dst` with the four parts each; a part of `src` is a
+    code or `*`, a part `-` of `dst` keeps the code. A stream can only meet 16 patterns,
+    its own codes with `*` in any of the four places, so it is joined under those keys
+    instead of being tried against every rule. Streams that no rule fits have no row.
+    """
+    code = lambda c: F.coalesce(F.col(c), F.lit(""))
+    own = streams.select(*[code(c).alias(c) for c in IDENTITY]).distinct()
+    mask = F.explode(F.sequence(F.lit(0), F.lit(15)))
+    masked = own.withColumn("_mask", mask).withColumns({
+        f"_{c}": F.when(F.getbit("_mask", F.lit(i)) == 1, "*").otherwise(F.col(c)) for i, c in enumerate(IDENTITY)
+    })
+    keys = [f"_{c}" for c in IDENTITY]
+    # Of rules with one pattern only the first can ever count.
+    target = F.struct("ord", *[F.col(f"dst.{c}").alias(c) for c in IDENTITY])
+    first = rules.groupBy(*[F.col(f"src.{c}").alias(f"_{c}") for c in IDENTITY]).agg(F.min(target).alias("_to"))
+    best = masked.join(first, keys).groupBy(*IDENTITY).agg(F.min("_to").alias("_to"))
+    return best.select(*IDENTITY, *[
+        F.when(F.col(f"_to.{c}") == "-", F.col(c)).otherwise(F.col(f"_to.{c}")).alias(f"to_{c}") for c in IDENTITY
+    ], F.col("_to.ord").alias("ord"))
+
+
+def rename_by_table(records: DataFrame, rules: DataFrame, params: Params = Params()) -> DataFrame:
+    """Rename by a table of rules of any size; unmatched records keep their identity.
+
+    Rules meet the distinct streams, and the streams' targets the records, in sliced
+    joins: one stream may hold a large share of all records. A NULL code is taken as an
+    empty one while matching.
+    """
+    keys = [f"_{c}" for c in IDENTITY]
+    targets = stream_targets(records.select(*IDENTITY), rules)
+    facts = targets.select(*[F.col(c).alias(k) for c, k in zip(IDENTITY, keys)], *[f"to_{c}" for c in IDENTITY])
+    keyed = records.withColumns({k: F.coalesce(F.col(c), F.lit("")) for c, k in zip(IDENTITY, keys)})
+    joined = attach(keyed, facts, keys, ["start_ts", "n_samples"], params, "left")
+    return joined.withColumns(
+        {c: F.coalesce(f"to_{c}", F.col(c)) for c in IDENTITY}
+    ).select(*records.columns)
+
+
 def with_band_codes(records: DataFrame, corner_period: Column) -> DataFrame:
     """Add the standard band letter and the instrument behind the second letter."""
     return records.withColumns({

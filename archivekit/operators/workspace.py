@@ -46,6 +46,14 @@ def stage(df: DataFrame, label: str, staged: list[str] | None = None) -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a table was ever written there; `*` and `{a,b}` stand for several folders."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def discard(spark: SparkSession, folders: list[str]) -> None:
     """Delete staged tables that nothing reads any more."""
     context = spark.sparkContext

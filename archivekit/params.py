@@ -46,6 +46,12 @@ class Params:
     # Most rows of per-day facts (about 300 bytes each) sent to every executor.
     broadcast_rows: int = 200_000
 
+    # Most year and station folders of filed records named one by one.
+    folder_globs: int = 2_000
+
+    # Most bitmaps (4 kB each) of a set of keys sent to every executor.
+    bitmaps: int = 16_384
+
     @property
     def near_complete(self) -> int:
         return self.expected - self.threshold_missing

@@ -530,4 +530,90 @@ _BODIES = {
         FROM listed GROUP BY ALL""",
 }
 
+# A listing with ancillary files alone on every fifth day, and records without known
+# channels on the days after: the chain of decisions over it.
+_ODD = ["files", "valid", "counts", "decided", "types", "day_rule", "archive_days", "chosen", "raw_records",
+        "run_records", "run_streams", "run_channels", "run_plan"]
+
+
+def _odd(text: str) -> str:
+    return re.sub(rf"\b({'|'.join(_ODD)})\b", r"odd_\1", text)
+
+
+CTES["odd_files"] = "SELECT * FROM files WHERE kind NOT IN ('dmx', 'ms.zip') OR dayofmonth(day) % 5 <> 0"
+for _name in _ODD[1:]:
+    CTES[f"odd_{_name}"] = _odd(CTES[_name])
+CTES["odd_types"] = CTES["odd_types"].replace("'echo') AS recorder", "'none') AS recorder")
+CTES["odd_raw_records"] = """
+        SELECT * REPLACE (CASE WHEN dayofmonth(day) % 5 = 1 THEN 'DL1' ELSE cha END AS cha) FROM raw_records"""
+CTES["sparse_days"] = """
+        SELECT station_dir, day, us, sp, CASE WHEN abs(us - 3) <= 1 THEN 'local'
+                    WHEN us < 2 AND abs(sp - 3) <= 1 THEN 'telemetered' ELSE 'patched' END AS rule
+        FROM gecko_counts"""
+# A record of a chosen file that meets its day's spec; copies count.
+CTES["run_raw"] = """
+        SELECT r.* FROM raw_records r
+        JOIN run_channels f ON f.station_dir = r.station_dir AND f.day = r.day AND f.ord = 1
+             AND length(r.cha) = 3 AND left(r.cha, 2) = left(f.cha, 2)
+        WHERE src_path IN (SELECT folder || '/' || name FROM chosen)"""
+CTES["lost_days"] = """
+        SELECT station_dir, day, count(*) FILTER (bad) AS n_rejected,
+               count(DISTINCT (net, sta, loc, cha, start_ts, end_ts, n_samples)) FILTER (NOT bad) AS n_filed
+        FROM (SELECT *, dayofmonth(start_ts) % 7 = 3 AND n_samples % 200 = 0 AS bad FROM run_raw) GROUP BY ALL"""
+
+_BODIES.update({
+    "days_changed": """
+        SELECT station_dir, day, CASE WHEN day < DATE '2024-01-20' AND early > 0 THEN early END AS n_before, n_files,
+               CASE WHEN day >= DATE '2024-01-20' OR early = 0 THEN 'new' WHEN early <> n_files THEN 'changed' ELSE 'same' END AS change
+        FROM (SELECT station_dir, day, count(*) AS n_files,
+                     count(*) FILTER (event_id % 29 <> 0 OR ts < TIMESTAMP '2024-01-11') AS early FROM files GROUP BY ALL)""",
+    "refiled_days": _IMPORTED,
+    "recorder_type_stored": f"SELECT {_TYPE_OUT} FROM types WHERE day >= DATE '2024-01-15'",
+    "carried_into_weeks": """
+        SELECT station_dir, period, last_value(decided IGNORE NULLS) OVER (PARTITION BY station_dir ORDER BY period
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS carried
+        FROM (SELECT station_dir, CAST(date_trunc('week', day) AS DATE) AS period,
+                     max_by(decided, day) FILTER (decided IS NOT NULL) AS decided FROM decided GROUP BY ALL)""",
+    "rehome_resumed": """
+        SELECT year, doy, count(*) AS n_in, count(*) AS n_out FROM (SELECT year(start_ts) AS year, dayofyear(start_ts) AS doy FROM unique_records)
+        GROUP BY ALL""",
+    "renamed_by_table": """
+        SELECT CASE WHEN sta = 'ST1' AND cha = 'DLZ' THEN 'VW' WHEN cha = 'DLE' THEN 'VY' WHEN sta = 'ST1' THEN 'VX' ELSE 'ZZ' END AS net,
+               sta, CASE WHEN sta = 'ST1' AND cha = 'DLZ' THEN '00' WHEN cha = 'DLE' THEN '10' ELSE loc END AS loc,
+               CASE WHEN cha = 'DLE' THEN 'BHE' ELSE cha END AS cha, start_ts, end_ts, n_samples
+        FROM unique_records""",
+    "failed_days": """
+        SELECT p.station_dir, p.day,
+               CASE WHEN n_rejected > 0 THEN 'FAILED' WHEN n_selected = 0 THEN 'EMPTY' WHEN n_rules = 0 THEN 'NO_RULES' ELSE 'OK' END AS status,
+               CASE WHEN n_rejected > 0 THEN n_rejected END AS n_rejected,
+               CASE WHEN n_rejected > 0 THEN 'no end time' END AS reason,
+               CASE WHEN n_filed > 0 THEN n_filed END AS n_filed
+        FROM run_plan p LEFT JOIN lost_days l ON l.station_dir = p.station_dir AND l.day = p.day""",
+    "walked_folders": """
+        SELECT station_dir || '/continuous/' || strftime(day, '%Y/%m/%d') || '/' || min(name) AS path,
+               station_dir, day, min(name) AS name, 10 * count(*) AS length
+        FROM listed GROUP BY station_dir, day, kind""",
+    "record_conflicts": f"""
+        SELECT {_KEY}, count(*) AS versions, string_agg(src_path, '|' ORDER BY src_path) AS sources
+        FROM (
+          SELECT {_KEY}, digest, min(src_path) AS src_path FROM (
+            SELECT {_KEY}, src_path, md5(props) AS digest FROM raw_records JOIN (SELECT event_id, props FROM named) USING (event_id)
+            UNION ALL SELECT {_KEY}, src_path || '.gz', md5('other') FROM raw_records WHERE n_samples % 700 = 0)
+          GROUP BY ALL)
+        GROUP BY ALL HAVING count(*) > 1""",
+    "manifest_again": _BODIES["manifest_roundtrip"],
+    "select_cascade_gecko": f"""
+        SELECT {_FILE}, rule FROM valid_gecko f JOIN sparse_days USING (station_dir, day)
+        WHERE (style = 'underscored' AND rule <> 'telemetered') OR (style = 'spaced' AND (rule = 'telemetered' OR (
+          rule = 'patched' AND NOT EXISTS (
+            SELECT 1 FROM valid_gecko k WHERE k.style = 'underscored' AND k.station_dir = f.station_dir
+               AND k.day = f.day AND k.hhmm = f.hhmm))))""",
+    "day_plan_statuses": """
+        SELECT station_dir, day, recorder, CASE WHEN recorder = 'none' THEN 0 ELSE n_selected END AS n_selected,
+               CASE WHEN recorder = 'none' THEN 0 ELSE n_rules END AS n_rules,
+               CASE WHEN dayofmonth(day) = 7 THEN 'PRESENT' WHEN recorder = 'none' THEN 'UNKNOWN_RECORDER'
+                    WHEN n_selected = 0 THEN 'EMPTY' WHEN n_rules = 0 THEN 'NO_RULES' ELSE 'OK' END AS status
+        FROM odd_run_plan""",
+})
+
 ORACLES = {name: _with(body).strip() for name, body in _BODIES.items()}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from archivekit.functions import names as N
-from archivekit.operators import classify, records as R, rename, select, stamps
+from archivekit.operators import carry, changes, classify, records as R, rejects, rename, select, stamps
 from archivekit.operators.workspace import new_folder
 from archivekit.params import Params
 from archivekit.plans import archive
@@ -588,3 +588,147 @@ def import_archive(spark, folder):
     archive.run_archive(spark, files, recs, sds, run_log=log, params=SCALED)
     archive.run_archive(spark, files, recs, sds, run_log=log, params=SCALED, skip_present=False)
     return catalog.scan_sds(spark, sds).select(*_SDS_OUT)
+
+
+# --- runs that meet what has changed -----------------------------------------------
+
+#: Files of every 29th event come late, from this day on; days from the other one on are new.
+LATE_FROM, NEW_FROM = "2024-01-11", "2024-01-20"
+CARRIED_FROM = "2024-01-15"
+#: Thresholds by which stations with few files of a family show every rule.
+SPARSE = SCALED.with_(expected=3, threshold_missing=1)
+
+
+def _early(spark, folder) -> DataFrame:
+    late = (F.col("event_id") % 29 == 0) & (F.col("ts") >= F.lit(LATE_FROM).cast("timestamp_ntz"))
+    return _events(spark, folder).filter(~late)
+
+
+def _keyed(listing: DataFrame) -> DataFrame:
+    keyed = N.with_path_keys(listing)
+    return keyed.select(F.inline(F.array(F.struct(*keyed.columns))))
+
+
+@query
+def days_changed(spark, folder):
+    """The listing against a log of what earlier files were filed from."""
+    root = new_folder(spark, "runs")
+    before = changes.day_fingerprints(_keyed(derived.files(_early(spark, folder), True)))
+    logged = before.filter(F.col("day") < F.lit(NEW_FROM).cast("date")).select(
+        F.current_timestamp().alias("run_ts"), F.col("station_dir").alias("station"), "day",
+        F.lit("echo").alias("recorder"), F.lit("OK").alias("status"), F.lit("").alias("detail"),
+        "n_files", "fingerprint",
+    )
+    runlog.write_run_log(logged, root)
+    now = changes.day_fingerprints(_all(spark, folder))
+    return changes.days_changed(now, runlog.read_run_log(spark, root)).drop("fingerprint")
+
+
+@query
+def refiled_days(spark, folder):
+    """A run over the early files, then one over all: changed days replace what they filed."""
+    sds, log = new_folder(spark, "sds"), new_folder(spark, "runs")
+    early = _early(spark, folder)
+    archive.run_archive(
+        spark, _keyed(derived.files(early, True)), derived.records(early), sds, run_log=log, params=SCALED)
+    archive.run_archive(spark, _all(spark, folder), _raw_records(spark, folder), sds, run_log=log, params=SCALED)
+    return catalog.scan_sds(spark, sds).select(*_SDS_OUT)
+
+
+@query
+def recorder_type_stored(spark, folder):
+    """Carried types of the later days, from stored summaries of the weeks before."""
+    root, files = new_folder(spark, "carry"), _all(spark, folder)
+    carry.write_carry(files.filter(F.col("day") < F.lit(CARRIED_FROM).cast("date")), root, SCALED, "week")
+    return carry.recorder_type_stored(files, carry.read_carry(spark, root), CARRIED_FROM, SCALED, "week")
+
+
+@query
+def carried_into_weeks(spark, folder):
+    """The family each station brings into each week, by a scan over weekly summaries."""
+    days = classify.decide_type(classify.count_by_family(_all(spark, folder)), SCALED)
+    return carry.carried_into(carry.period_summaries(days, "week"))
+
+
+@query
+def rehome_resumed(spark, folder):
+    """A copy that did one day and then goes on: counts of every day copied."""
+    source, target, progress = (new_folder(spark, n) for n in ("sds", "rehomed", "progress"))
+    sink.write_sds(_raw_records(spark, folder), source)
+    sink.rehome_archive(spark, source, target, "AB.*.*.*:VX.-.-.-", doy=5, progress=progress)
+    sink.rehome_archive(spark, source, target, "AB.*.*.*:VX.-.-.-", progress=progress, step_days=15)
+    return sink.read_progress(spark, progress).drop("copied_at")
+
+
+@query
+def renamed_by_table(spark, folder):
+    parts = "struct<net: string, sta: string, loc: string, cha: string>"
+    rules = spark.createDataFrame([
+        (1, ("AB", "ST1", "*", "DLZ"), ("VW", "-", "00", "-")), (2, ("AB", "*", "60", "DLE"), ("VY", "-", "10", "BHE")),
+        (3, ("*", "ST1", "*", "*"), ("VX", "-", "-", "-")), (4, ("AB", "*", "*", "DLE"), ("NO", "NO", "NO", "NO")),
+        (5, ("*", "*", "*", "*"), ("ZZ", "-", "-", "-")),
+    ], f"ord int, src {parts}, dst {parts}")
+    return rename.rename_by_table(_records(spark, folder), rules).select(*R.RECORD_KEY)
+
+
+@query
+def failed_days(spark, folder):
+    """A run in which the records of some days can't be filed: those days fail, all others are filed."""
+    sds, log, lost = (new_folder(spark, n) for n in ("sds", "runs", "rejects"))
+    bad = (F.dayofmonth("start_ts") % 7 == 3) & (F.col("n_samples") % 200 == 0)
+    recs = _raw_records(spark, folder).withColumn("end_ts", F.when(~bad, F.col("end_ts")))
+    archive.run_archive(spark, _all(spark, folder), recs, sds, run_log=log, params=SCALED, rejects=lost)
+    runs = runlog.read_run_log(spark, log).select(F.col("station").alias("station_dir"), "day", "status")
+    filed = N.with_path_keys(catalog.scan_sds(spark, sds), "src_path").groupBy(*DAY).agg(F.count(F.lit(1)).alias("n_filed"))
+    broken = rejects.rejected_days(spark.read.parquet(lost))
+    return runs.join(broken, DAY, "left").join(filed, DAY, "left")
+
+
+@query
+def walked_folders(spark, folder):
+    """Real folders below one root, walked without knowing stations or depth."""
+    root = new_folder(spark, "tree")
+    derived.write_tree(_events(spark, folder), root)
+    found = catalog.catalog(catalog.walk_folders(spark, root))
+    return found.select(F.substring_index("path", "/", -6).alias("path"), *FILE)
+
+
+@query
+def record_conflicts(spark, folder):
+    """Records of which some have a second version with other samples."""
+    raw = _raw_records(spark, folder)
+    other = raw.filter(F.col("n_samples") % 700 == 0).withColumns({
+        "payload": F.encode(F.lit("other"), "UTF-8"), "src_path": F.concat("src_path", F.lit(".gz"))})
+    found = R.record_conflicts(raw.unionByName(other))
+    return found.withColumn("sources", F.array_join("sources", "|"))
+
+
+@query
+def manifest_again(spark, folder):
+    """A manifest that grows by runs which overlap."""
+    root = new_folder(spark, "manifest")
+    chosen = select.select_near_complete(_all(spark, folder), "echo", SCALED)
+    sink.write_manifest(chosen.filter(F.col("day") < F.lit(LATE_FROM).cast("date")), root, "append")
+    sink.write_manifest(chosen, root, "append")
+    return sink.read_manifest(spark, root).select(*FILE, "style", "year")
+
+
+@query
+def select_cascade_gecko(spark, folder):
+    return select.select_cascade(_all(spark, folder), "gecko", SPARSE).select(*FILE, "rule")
+
+
+@query
+def day_plan_statuses(spark, folder):
+    """A plan with days of every status: some hold ancillary files alone, some no known channel."""
+    fifth = F.dayofmonth("day") % 5
+    data = N.has_extension(F.col("name"), "archive")
+    files = _all(spark, folder).filter(~data | (fifth != 0))
+    recs = N.with_path_keys(_raw_records(spark, folder).drop("payload"), "src_path")
+    recs = recs.withColumn("cha", F.when(fifth == 1, "DL1").otherwise(F.col("cha"))).drop("name", *DAY)
+    params = SCALED.with_(first_type="none")
+    days = archive.archive_days(files, params)
+    known = classify.is_known_recorder(days)
+    channels = rename.select_channels(archive.choose_records(recs, known.select(*DAY, "recorder", "keep"), params), params)
+    present = days.filter(F.dayofmonth("day") == 7)
+    return archive.day_plan(days, channels, present, params)

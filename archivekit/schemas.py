@@ -25,9 +25,10 @@ RECORDS = T.StructType([
     T.StructField("src_path", T.StringType()),
 ])
 
-# A record table stored by station folder and year.
+# A record table stored by station folder and year, in order of days.
 STORED_RECORDS = T.StructType([
     *RECORDS.fields,
+    T.StructField("day", T.DateType()),
     T.StructField("station_dir", T.StringType()),
     T.StructField("year", T.IntegerType()),
 ])
@@ -46,6 +47,7 @@ SDS = T.StructType([
     T.StructField("payload", T.BinaryType()),
     T.StructField("src_path", T.StringType()),
     T.StructField("digest", T.LongType()),
+    T.StructField("run", T.StringType()),
     T.StructField("year", T.IntegerType()),
     T.StructField("net", T.StringType()),
     T.StructField("sta", T.StringType()),
@@ -62,6 +64,22 @@ RUNS = T.StructType([
     T.StructField("detail", T.StringType()),
 ])
 
+# The run log as stored: what each day's files were when it was filed.
+STORED_RUNS = T.StructType([
+    *RUNS.fields,
+    T.StructField("n_files", T.LongType()),
+    T.StructField("fingerprint", T.DecimalType(38, 0)),
+])
+
+# Days of an archive that were copied into another one.
+PROGRESS = T.StructType([
+    T.StructField("year", T.IntegerType()),
+    T.StructField("doy", T.IntegerType()),
+    T.StructField("n_in", T.LongType()),
+    T.StructField("n_out", T.LongType()),
+    T.StructField("copied_at", T.TimestampType()),
+])
+
 LOG_LINES = T.StructType([
     T.StructField("station", T.StringType()),
     T.StructField("day", T.DateType()),

@@ -5,24 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from archivekit import schemas
+from archivekit.operators.workspace import exists
 from archivekit.params import Params
-from archivekit.sources.catalog import path_missing
 
 
 def write_run_log(runs: DataFrame, path: str) -> None:
     """Append one row per processed day."""
-    runs.select(*schemas.RUNS.fieldNames()).write.mode("append").parquet(path)
+    lacking = [f for f in schemas.STORED_RUNS.fields if f.name not in runs.columns]
+    runs = runs.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
+    runs.select(*schemas.STORED_RUNS.fieldNames()).write.mode("append").parquet(path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.schema(schemas.RUNS).parquet(path)
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
-        return spark.createDataFrame([], schemas.RUNS)
+    if exists(spark, path):
+        return spark.read.schema(schemas.STORED_RUNS).parquet(path)
+    return spark.createDataFrame([], schemas.STORED_RUNS)
 
 
 def run_lines(runs: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from archivekit import schemas
 from archivekit.functions import names as N
+from archivekit.operators.workspace import exists, stage
+from archivekit.sinks import commits
 
 
 def scan_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -84,6 +86,47 @@ def scan_day_folders(
     )
 
 
+def walk_folders(spark: SparkSession, root: str, levels: int = 32) -> DataFrame:
+    """Every file below `root`, whatever the folders between are called.
+
+    Folders are rows: each level of them is listed in tasks and gives the files found
+    and the next level's folders, so neither stations nor depth need be known and no
+    name passes through the driver. Empty files and names that start with `_` or `.` are
+    listed too. A tree deeper than `levels` is an error: links may run in circles.
+    `catalog` of the result are the files that lie in day folders.
+    """
+    tasks = spark.sparkContext.defaultParallelism * 4
+
+    def list_level(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for folder in batch["folder"]:
+                found = store.get_file_info(fs.FileSelector(f"{base}/{folder}" if folder else base))
+                names = [f"{folder}/{i.base_name}" if folder else i.base_name for i in found]
+                is_file = [i.type == fs.FileType.File for i in found]
+                yield pd.DataFrame({
+                    "folder": [None if f else n for f, n in zip(is_file, names)],
+                    "path": [f"{root}/{n}" if f else None for f, n in zip(is_file, names)],
+                    "length": [i.size if f else 0 for f, i in zip(is_file, found)],
+                    "modified": pd.to_datetime([i.mtime for i in found], utc=True),
+                }).astype({"folder": "object", "path": "object", "length": "int64"})
+
+    level = spark.range(1).select(F.lit("").alias("folder"))
+    out = None
+    for _ in range(levels):
+        spread = level.repartition(tasks, "folder")
+        seen = stage(spread.mapInPandas(list_level, "folder string, path string, length bigint, modified timestamp"), "walk")
+        files = seen.filter("path IS NOT NULL").select("path", "length", "modified")
+        out = files if out is None else out.unionByName(files)
+        level = seen.filter("folder IS NOT NULL").select("folder")
+        if level.isEmpty():
+            return out
+    raise ValueError(f"more than {levels} levels of folders below {root}")
+
+
 def catalog(listing: DataFrame) -> DataFrame:
     """Files inside day folders, with name, station folder and day."""
     return N.with_path_keys(listing).filter(F.col("day").isNotNull())
@@ -126,14 +169,14 @@ def day_folders(files: DataFrame, start=None, end=None) -> DataFrame:
 def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
     """Store decoded records by station folder and year of their source file.
 
-    A run over a few days or stations then reads their folders alone.
+    A run over a few days or stations then reads their folders alone, and in these the
+    row groups that hold its days.
     """
     keyed = N.with_path_keys(records, "src_path").withColumn("year", F.year("day"))
     (
         keyed.select(*schemas.RECORDS.fieldNames(), "station_dir", "year", "day")
         .hint("rebalance", F.col("station_dir"), F.col("year"))
         .sortWithinPartitions("station_dir", "year", "day")
-        .drop("day")
         .write.mode(mode).partitionBy("station_dir", "year").parquet(path)
     )
 
@@ -141,39 +184,31 @@ def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
 def read_records(spark: SparkSession, path: str, partitioned: bool = False) -> DataFrame:
     """Record table: one row per record, under a fixed schema.
 
-    `partitioned` tables are those of `write_records`; they also have `station_dir` and
-    `year`, by which `run_archive` prunes.
+    `partitioned` tables are those of `write_records`; they also have `station_dir`,
+    `year` and `day`, by which `run_archive` prunes.
     """
     schema = schemas.STORED_RECORDS if partitioned else schemas.RECORDS
     return spark.read.schema(schema).parquet(path)
 
 
-def path_missing(error: Exception) -> bool:
-    condition = getattr(error, "getCondition", lambda: None)()
-    return condition == "PATH_NOT_FOUND"
-
-
 def scan_sds(
     spark: SparkSession,
     root: str,
     years: Sequence[int] | None = None,
     stations: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Filed records. Years and stations narrow the folders that are listed at all."""
-    from pyspark.errors import AnalysisException
+    """Filed records that count (see `sinks.commits`).
 
+    Years and stations narrow the folders that are listed at all.
+    """
     alternatives = lambda values: "*" if values is None else "{%s}" % ",".join(map(str, values))
     where = root
     if years is not None or stations is not None:
         where = f"{root}/year={alternatives(years)}/net=*/sta={alternatives(stations)}"
-    try:
-        return (
-            spark.read.schema(schemas.SDS).option("basePath", root).parquet(where)
-        )
-    except AnalysisException as error:
-        if not path_missing(error):
-            raise
+    if not exists(spark, where):
         return spark.createDataFrame([], schemas.SDS)
+    stored = spark.read.schema(schemas.SDS).option("basePath", root).parquet(where)
+    return commits.counting(stored, spark, root)
 
 
 def filed_days(sds: DataFrame) -> DataFrame:

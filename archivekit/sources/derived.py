@@ -168,3 +168,27 @@ def packed_files(events: DataFrame) -> DataFrame:
             yield pd.DataFrame({"path": batch["path"], "content": packed})
 
     return named.mapInPandas(pack, "path string, content binary")
+
+
+def write_tree(events: DataFrame, root: str) -> None:
+    """Real day folders below `root`: a file for each station-day and extension.
+
+    It has the first name of its group and ten bytes for each file of it; a copy of each
+    lies outside the day folders, in one named after the day.
+    """
+    groups = _named(events).groupBy("station_dir", "day", "ext").agg(
+        F.min(_file_name()).alias("name"), F.count(F.lit(1)).alias("n"))
+
+    def write(batches):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for row in batch.itertuples():
+                for folder in (f"{row.station_dir}/continuous/{row.day:%Y/%m/%d}", f"{row.station_dir}/other/{row.day:%d}"):
+                    store.create_dir(f"{base}/{folder}")
+                    with store.open_output_stream(f"{base}/{folder}/{row.name}") as out:
+                        out.write(b"0123456789" * row.n)
+            yield batch[["n"]]
+
+    groups.mapInPandas(write, "n bigint").write.format("noop").mode("overwrite").save()
