@@ -122,7 +122,8 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     text = F.decode("header", "utf-8")
 
     def field(name: str) -> Column:
-        found = F.regexp_extract(text, f"(?m)^{name}: ([^\r\n]*)$", 1)
+        # Lines end with a line feed only: other separators may stand inside a value.
+        found = F.regexp_extract(text, f"(?md)^{name}: ([^\r\n]*)\r?$", 1)
         return F.when(found != "", found)
 
     fields = headers.select(
