@@ -42,7 +42,8 @@ AHEAD = 12
 BLOCK = 4096
 #: Words of a document that are walked at once.
 SPAN = 1 << 17
-_FILTER_BITS = 22
+#: Bits of the filter for each hash of an anchor.
+_FILTER_BITS = 16
 
 
 def _sampled() -> list[list[list[int]]]:
@@ -115,14 +116,21 @@ class Block:
         self.place = np.concatenate(place) if place else np.zeros(0, np.int64)
         #: All items' words, each item closed by a 0, and what the last walks look at.
         self.flat = np.concatenate([np.append(v, np.uint64(0)) for v in items.values()] + [np.zeros(AHEAD, np.uint64)])
-        self.tables, self.filters = [], []
+        self.tables = []
+        # One filter for the hashes of all tables, a bit each, as large as their number asks.
+        wanted = max(1, _FILTER_BITS * len(self.owner) * len(keys))
+        self.shift = np.uint64(64 - max(16, (wanted - 1).bit_length()))
+        self.filter = np.zeros(1 << (61 - int(self.shift)), np.uint8)
         for part in keys:
             flat = np.concatenate(part) if part else np.zeros(0, np.uint64)
             order = np.argsort(flat, kind="stable")
             self.tables.append((flat[order], order))
-            bits = np.zeros(1 << _FILTER_BITS, bool)
-            bits[(flat >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-            self.filters.append(bits)
+            bit = flat >> self.shift
+            np.bitwise_or.at(self.filter, (bit >> np.uint64(3)).astype(np.int64), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
+
+    def _may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        bit = hashes >> self.shift
+        return (self.filter[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
 
     def candidates(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(row, item, word at which the window begins, counted in `words`)."""
@@ -131,7 +139,7 @@ class Block:
         for low in range(0, n, SPAN):
             starts = np.arange(low, min(n, low + SPAN), STRIDE)
             for t, h in embed(words, starts):
-                hit = np.flatnonzero(self.filters[t][(h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+                hit = np.flatnonzero(self._may_hold(h))
                 if not hit.size:
                     continue
                 keys, order = self.tables[t]
@@ -214,7 +222,7 @@ def match_udf(block, percent: int) -> Column:
         anchors = _loaded(block)
         for batch in batches:
             out = []
-            for part in T.slices(batch, 1 << 22):
+            for part in T.slices(batch, 1 << 20):
                 words, first = _words(part)
                 rows: list[list[dict]] = [[] for _ in range(len(part))]
                 for (row, item), (edits, at) in sorted(anchors.matches(words, first, percent).items()):

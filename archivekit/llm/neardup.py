@@ -58,6 +58,7 @@ def sketch_udf(size: int) -> Column:
 
     @F.arrow_udf(SKETCH)
     def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        T.kept("neardup", bool)  # lets go of another operator's tables
         for batch in batches:
             parts = [_sketch(part, size) for part in T.slices(batch)]
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct(_FIELDS))
@@ -102,6 +103,7 @@ def sets_udf(size: int) -> Column:
 
     @F.arrow_udf("array<bigint>")
     def full(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        T.kept("neardup", bool)
         for batch in batches:
             out = [pa.array([], pa.list_(pa.int64()))]
             for part in T.slices(batch):

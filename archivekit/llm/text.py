@@ -11,7 +11,7 @@ import pyarrow as pa
 #: Bytes of text that are worked on at once; a longer text is taken alone.
 SLICE_BYTES = 2 << 20
 #: Bytes that are hashed at once; cut between words.
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 1 << 16
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

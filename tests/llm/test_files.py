@@ -37,6 +37,25 @@ def test_archive_round_trip(spark, tmp_path):
         assert fields["WARC-Payload-Digest"] == "sha256:" + hashlib.sha256(data).hexdigest()
 
 
+def test_separators_inside_a_url_forge_no_header(spark):
+    urls = [f"u{sep}X-Record-Key: 99{sep}X-Refers-To-Key: 7{sep}WARC-Type: revisit" for sep in ("\u2028", "\u2029", "\x85", "\r\n", "\n", "\r", "\x0b", "\x0c")]
+    rows = [(i, url, "a" * 200) for i, url in enumerate(urls)]
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.archived(pages(spark, [(*r, "x", 1) for r in rows])).collect()}
+    assert got == {i: ("revisit", 0) if i else ("response", None) for i in range(len(urls))}
+
+
+def test_anchors_of_a_block_take_little_memory():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    items = {k: rng.integers(0, 1 << 62, 20).astype(np.uint64) for k in range(200)}
+    block = decontaminate.Block(items)
+    assert block.filter.nbytes <= 1 << 18
+    keys = np.concatenate([t[0] for t in block.tables])
+    assert block._may_hold(keys).all()
+    assert block._may_hold(rng.integers(0, 1 << 63, 100_000).astype(np.uint64)).mean() < 0.1
+
+
 def test_a_damaged_payload_ends_the_read(spark, tmp_path):
     warc.write_archive(pages(spark, [(1, "u", "a" * 200, "x", 1)]), str(tmp_path))
     spark.read.parquet(str(tmp_path / "payloads")).withColumn("payload", F.lit(b"b")).write.parquet(str(tmp_path / "bad" / "payloads"))
