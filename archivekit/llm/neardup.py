@@ -13,8 +13,8 @@ its members with its smallest one, and once components are known, nodes that hol
 single component are left: no link in them could join anything new. A node whose
 members outside its main component are few compares those with everyone, which is
 linear in its size, and is done. What is still large at the deepest level is compared
-exhaustively on full sets, in tiles that give no more links than connect their members.
-Nothing is capped.
+on full sets, members outside the main component with everyone, in tiles that give no
+more links than connect their members. Nothing is capped.
 """
 
 from __future__ import annotations
@@ -216,14 +216,32 @@ def _same_sets(size: int, percent: int):
 
 
 def _tiled(docs: DataFrame, big: DataFrame, size: int, percent: int, broadcast_ids: int) -> DataFrame:
-    """Links between components within large nodes, by full sets in tiles of bounded size."""
-    sets = _sets(docs, big.select(F.col("id").alias("doc_id")).distinct(), size, broadcast_ids)
-    tiles = F.ceil(F.col("size") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("id", F.lit(5)), tiles).cast("int")
-    rows = big.select("node", "id", "root", tiles.alias("k"), own.alias("own"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    rows = rows.select("node", "id", "root", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"))
-    return rows.join(sets, "id").groupBy("node", "s", "t").applyInPandas(_same_sets(size, percent), "a long, b long")
+    """Links between components within large nodes, by full sets in tiles of bounded size.
+
+    Two members of a node's main component have nothing to join. So only the members
+    outside it, in tiles, meet each other and the tiles of the main component: of that,
+    a member is copied for each tile of the others, however large it is itself. Nodes
+    that hold one component by now are left out.
+    """
+    counts = big.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
+        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).filter("all > top.n")
+    tiles = lambda n: F.ceil(n / TILE).cast("int")
+    parts = stage(counts.select(
+        "node", F.col("top.root").alias("core"), tiles(F.col("all") - F.col("top.n")).alias("k"), tiles(F.col("top.n")).alias("cores")), "mixed")
+    main = F.col("root") == F.col("core")
+    own = F.pmod(F.xxhash64("id", F.lit(5)), F.when(main, F.col("cores")).otherwise(F.col("k"))).cast("int")
+    rows = stage(big.select("node", "id", "root").join(parts, "node").select("node", "id", "root", "k", "cores", main.alias("main"), own.alias("own")), "members")
+    sets = _sets(docs, rows.select(F.col("id").alias("doc_id")).distinct(), size, broadcast_ids)
+    # Tiles are numbered: first those of the others, then those of the main component.
+    k, own = F.col("k"), F.col("own")
+    cell = lambda s, t: F.struct(s.cast("int").alias("s"), t.cast("int").alias("t"))
+    others = F.sequence(F.lit(0), k - 1)
+    met = F.when(F.col("main"), F.transform(others, lambda i: cell(i, k + own))).otherwise(F.concat(
+        F.transform(others, lambda i: cell(F.least(i, own), F.greatest(i, own))),
+        F.transform(F.sequence(F.lit(0), F.col("cores") - 1), lambda i: cell(own, k + i)),
+    ))
+    dealt = rows.select("node", "id", "root", F.explode(met).alias("x")).select("node", "id", "root", "x.s", "x.t")
+    return dealt.join(sets, "id").groupBy("node", "s", "t").applyInPandas(_same_sets(size, percent), "a long, b long")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, size: int, broadcast_ids: int) -> DataFrame:
