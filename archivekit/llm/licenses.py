@@ -1,18 +1,26 @@
 """License statements in texts by conditional compression.
 
-A text is cut into paragraphs; those that hold a cue are candidates. Every template is
-compared by its exact wording with every window of its size that has enough of its
-words: the words that must be put in, taken out or changed between the template and a
-stretch of the paragraph. Of the stretches near enough, the likest that do not overlap
-are given. Each is compressed by zstandard alone and with every template as raw
-dictionary; the share of bytes a template saves ranks the templates. Compression only
-ranks: it leaves no template out.
+Candidate blocks are windows of words around cues, twice as long as a template may be
+with its edits and half overlapping, so that each stretch lies whole in one of them;
+they run over line ends and blank lines. A block that holds enough of a template's words
+is compressed by zstandard, alone and with the template as raw dictionary. Templates
+that save bytes enough, by a bound calibrated on wordings with the most edits allowed,
+are confirmed by the exact wording: the words that must be put in, taken out or changed
+between the template and a stretch of the block. Of the confirmed stretches, the likest
+that do not overlap are given, each with the rank of its template among all by the share
+of bytes saved on it.
+
+The bound is three quarters of the least saving in `TRIALS` random wordings of a
+template with the most edits allowed, so a confirmable stretch is missed only where its
+edits hide it better than any of these did; stretches without any cue are no candidates.
 """
 
 from __future__ import annotations
 
+import random
 import re
-from bisect import bisect
+from array import array
+from bisect import bisect, bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -67,9 +75,10 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+#: Random wordings of a template by which its bound is set.
+TRIALS = 100
 #: A word that license wordings hold; blocks without one are no candidates.
 CUE = re.compile(r"licen[sc]|copyright|permission|permitted|warrant|redistribut|public domain|free software|cc0|\bcc by", re.I)
-_BLOCK = re.compile(r"[^\n]*(?:\n(?![ \t\r]*\n)[^\n]*)*")
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
 def words(text: str) -> list[str]:
@@ -107,6 +116,7 @@ class Scanner:
         self._holds = {n: np.zeros(len(self._number) + 1, bool) for n in self.names}
         for n in self.names:
             self._holds[n][[self._number[w] for w in self.words[n]]] = True
+        self._bounds: dict[tuple[str, float], float] = {}
         self._known: dict[str, list] = {}
 
     def reductions(self, block: str) -> list[tuple[float, str]]:
@@ -115,26 +125,55 @@ class Scanner:
         alone = len(self._plain.compress(data))
         return sorted(((1 - len(self._with[n].compress(data)) / alone, n) for n in self.names), key=lambda x: (-x[0], x[1]))
 
+    def saved(self, name: str, said: list[str]) -> int:
+        """Bytes by which the template makes the compressed block smaller."""
+        data = " ".join(said).encode()
+        return len(self._plain.compress(data)) - len(self._with[name].compress(data))
+
+    def bound(self, name: str, least: float) -> float:
+        """What a block saves at least that holds the template with the most edits."""
+        if (name, least) not in self._bounds:
+            target, rng = self.words[name], random.Random(f"{name} {least}")
+            most = self.edits(name, least)
+            other = lambda: "".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 9)))
+            savings = []
+            for _ in range(TRIALS):
+                near = list(target)
+                for _ in range(most):
+                    kind, at = rng.randrange(3), rng.randrange(len(near))
+                    near[at : at + (kind != 1)] = [other()] if kind else []
+                rest = max(0, 2 * (len(target) + most) - len(near))
+                before = rng.randint(0, rest)
+                savings.append(self.saved(name, [*(other() for _ in range(before)), *near, *(other() for _ in range(rest - before))]))
+            self._bounds[name, least] = 0.75 * min(savings)
+        return self._bounds[name, least]
+
+    def edits(self, name: str, least: float) -> int:
+        return int((1 - least) * len(self.words[name]) + 1e-9)
+
     def _near(self, name: str, said: list[str], numbers: np.ndarray, least: float) -> Iterator[tuple[int, int, int]]:
-        """Stretches of `said` near one template.
+        """Stretches of `said` near one template, in the blocks which it makes small enough.
 
-        A stretch with at most `most` edits lies in a window of so many words more than the
-        template, and all but so many of the template's words are in it: no other is compared.
+        A stretch with at most `most` edits has so many words more than the template at
+        most, and all but so many of the template's words: other blocks are no candidates.
         """
-        target = self.words[name]
-        most = int((1 - least) * len(target) + 1e-9)
+        target, most = self.words[name], self.edits(name, least)
         size, need = len(target) + most, len(target) - most
         sums = np.concatenate([[0], np.cumsum(self._holds[name][numbers])])
-        begins = np.arange(len(said))
-        begins = begins[sums[np.minimum(begins + size, len(said))] - sums[begins] >= need]
-        if not len(begins):
-            return
-        cuts = np.flatnonzero(np.diff(begins) > size) + 1
-        for run in np.split(begins, cuts):
-            low, high = int(run[0]), min(int(run[-1]) + size, len(said))
-            if (Counter(target) - Counter(said[low:high])).total() <= most:
-                for edits, begin, end in stretches(target, said[low:high], most):
-                    yield edits, low + begin, low + end
+        begins = np.arange(0, max(1, len(said) - size), size)
+        ends = np.minimum(begins + 2 * size, len(said))
+        bound = self.bound(name, least)
+        runs: list[list[int]] = []
+        for low, high in np.stack([begins, ends], 1)[sums[ends] - sums[begins] >= need].tolist():
+            if (Counter(target) - Counter(said[low:high])).total() > most or self.saved(name, said[low:high]) < bound:
+                continue
+            if runs and low <= runs[-1][1]:
+                runs[-1][1] = high
+            else:
+                runs.append([low, high])
+        for low, high in runs:
+            for edits, begin, end in stretches(target, said[low:high], most):
+                yield edits, low + begin, low + end
 
     def winners(self, said: list[str], least: float) -> list[tuple[str, float, int, int, float, int, int]]:
         """(license, reduction, rank, edits, likeness, first word, end) of confirmed stretches that do not overlap, in order.
@@ -162,35 +201,46 @@ class Scanner:
         return sorted(found, key=lambda x: x[5])
 
     def scan(self, text: str, least: float) -> list[dict]:
-        """Confirmed licenses of a text, each with the line it stands in, or else its paragraph."""
+        """Confirmed licenses of a text, each with the lines it stands in."""
+        cues = [m.start() for m in CUE.finditer(text)]
+        if not cues:
+            return []
+        starts, ends = array("q"), array("q")
+        for m in _WORD.finditer(text):
+            starts.append(m.start())
+            ends.append(m.end())
+        reach = max(len(self.words[n]) + self.edits(n, least) for n in self.names)
+        regions: list[list[int]] = []
+        for cue in cues:
+            at = bisect_left(ends, cue + 1)
+            low, high = max(0, at - reach), min(len(starts), at + reach + 1)
+            if regions and low <= regions[-1][1]:
+                regions[-1][1] = max(high, regions[-1][1])
+            else:
+                regions.append([low, high])
         out: list[dict] = []
-        if not CUE.search(text):
-            return out
-        for m in _BLOCK.finditer(text):
-            if m[0] and CUE.search(m[0]):
-                for name, saved, rank, edits, likeness, begin, end in self._winners(m[0], least):
-                    out.append({
-                        "license": name, "begin": m.start() + begin, "end": m.start() + end, "reduction": saved, "rank": rank,
-                        "edits": edits, "likeness": likeness})
+        for low, high in regions:
+            if low == high:
+                continue
+            for name, saved, rank, edits, likeness, begin, end in self._winners([text[starts[i] : ends[i]].lower() for i in range(low, high)], least):
+                first = text.rfind("\n", 0, starts[low + begin]) + 1
+                last = text.find("\n", ends[low + end - 1])
+                lines = text[first : last if last >= 0 else len(text)].rstrip("\r\n")
+                out.append({
+                    "license": name, "begin": first, "end": first + len(lines), "reduction": saved, "rank": rank,
+                    "edits": edits, "likeness": likeness})
         return out
 
-    def _winners(self, block: str, least: float) -> list[tuple]:
-        """`winners` of a block with memory, with characters in place of words."""
-        known = self._known.get(block)
-        if known is None:
-            places, lines = [w.span() for w in _WORD.finditer(block)], [0]
-            for line in block.splitlines(keepends=True):
-                lines.append(lines[-1] + len(line))
-            known = []
-            for *what, begin, end in self.winners([block[a:b].lower() for a, b in places], least):
-                at = bisect(lines, places[begin][0]) - 1
-                low, high = (lines[at], lines[at + 1]) if places[end - 1][1] <= lines[at + 1] else (0, len(block))
-                known.append((*what, low, low + len(block[low:high].rstrip("\r\n"))))
-            if len(block) <= 400:
-                if len(self._known) > 50_000:
-                    self._known.clear()
-                self._known[block] = known
-        return known
+    def _winners(self, said: list[str], least: float) -> list[tuple]:
+        """`winners` of a region, with memory for the short ones."""
+        if len(said) > 400:
+            return self.winners(said, least)
+        key = f"{least} " + " ".join(said)
+        if key not in self._known:
+            if len(self._known) > 10_000:
+                self._known.clear()
+            self._known[key] = self.winners(said, least)
+        return self._known[key]
 
 
 def _scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
@@ -218,7 +268,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, least
     """One row per confirmed stretch of `docs` (doc_id, text).
 
     Gives doc_id, license, begin and end (characters of the line that holds the stretch,
-    or of the paragraph if it is broken over lines), reduction, rank (of the template by
+    or of all its lines if it is broken over several), reduction, rank (of the template by
     reduction), edits (words) and likeness (1 - edits / its words). Null and empty texts
     give no row; repeated rows give repeated rows. Of stretches that overlap the likest,
     of those alike the one of the longer template, then of the first by name is given.

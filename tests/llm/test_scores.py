@@ -165,6 +165,84 @@ def test_licenses_by_compression_and_wording(spark, empty):
     assert licenses.license_scan(empty).count() == 0
 
 
+MIT = """Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+"""
+APACHE = """ Licensed under the Apache License, Version 2.0 (the "License");
+ you may not use this file except in compliance with the License.
+ You may obtain a copy of the License at
+
+     http://www.apache.org/licenses/LICENSE-2.0
+
+ Unless required by applicable law or agreed to in writing, software
+ distributed under the License is distributed on an "AS IS" BASIS,
+ WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ See the License for the specific language governing permissions and
+ limitations under the License.
+"""
+
+
+def test_licenses_in_their_usual_layout():
+    scan = licenses.Scanner(licenses.TEMPLATES).scan
+    for text, name in ((MIT, "MIT-text"), (BSD, "BSD-text"), (APACHE, "Apache-2.0-header")):
+        padded = "Words before it.\n\n" + text + "\n\nAnd after.\n"
+        (found,) = scan(padded, 0.8)
+        assert found["license"] == name and found["likeness"] > 0.95 and found["rank"] == 1
+        held = padded[found["begin"] : found["end"]]
+        assert licenses.words(licenses.TEMPLATES[name])[-1] in held.lower() and "before" not in held and "after" not in held
+
+
+def every_wording(scanner, said, least):
+    """Brute force: every template against every stretch."""
+    return {(n, e) for n in scanner.names for e, _, _ in licenses.stretches(scanner.words[n], said, scanner.edits(n, least))}
+
+
+def test_compression_decides_and_misses_hardly_any(rng):
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    noise = [f"word{k}" for k in range(500)] + "the of and to in under this license software for any with".split()
+    wanted = found = 0
+    for trial in range(150):
+        name = rng.choice(scanner.names)
+        near = list(scanner.words[name])
+        for _ in range(rng.randint(0, scanner.edits(name, 0.8))):
+            at = rng.randrange(len(near))
+            near[at : at + rng.randint(0, 1)] = [rng.choice(noise)][: rng.randint(0, 1)]
+        said = [rng.choice(noise) for _ in range(rng.randint(0, 80))] + near + [rng.choice(noise) for _ in range(rng.randint(0, 80))]
+        numbers = np.array([scanner._number.get(w, 0) for w in said])
+        exact = {n for n, _ in every_wording(scanner, said, 0.8)}
+        got = {n for n in scanner.names for _ in scanner._near(n, said, numbers, 0.8)}
+        assert got <= exact
+        wanted, found = wanted + len(exact), found + len(got)
+    assert wanted > 100 and found >= 0.99 * wanted
+    text = "Licensed under the Apache License, Version 2.0."
+    assert scanner.scan(text, 0.8)
+    scanner.saved = lambda name, said: 0
+    assert not scanner.scan(text + " ", 0.8) or scanner.bound("Apache-2.0", 0.8) <= 0
+
+
+def test_licenses_of_repeated_rows_clashing_columns_and_long_texts(spark):
+    long = "some words here " * 200_000 + "Released under the MIT License. " + "and more words " * 100_000
+    rows = [(1, "Released under the MIT License.", "x", 3)] * 2 + [(2, long, "y", 4), (None, "Licensed under CC BY 4.0.", "z", 5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, license string, rank int")
+    got = sorted((r["doc_id"] or 0, r["license"], r["edits"]) for r in licenses.license_scan(frame).collect())
+    assert got == [(0, "CC-BY-4.0", 0), (1, "MIT", 0), (1, "MIT", 0), (2, "MIT", 0)]
+
+
 def test_every_license_of_long_lines_and_of_one_line(rng):
     scan = licenses.Scanner(licenses.TEMPLATES).scan
     noise = [f"word{k}" for k in range(2000)] + "the of and to in under this license software".split()
