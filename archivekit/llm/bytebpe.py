@@ -25,7 +25,7 @@ from archivekit.llm.merges import Merges
 #: Pieces up to this length go through the table many at a time.
 SIDE_BY_SIDE = 48
 #: Bounds of what a worker remembers: entries, and characters of one.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 64
+REMEMBERED, REMEMBERED_CHARS = 100_000, 64
 _FILTER_BITS = 22
 
 #: Unicode's White_Space characters (fixed values).

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,11 +38,22 @@ def kept(key, make):
     to those of the one at work, so they go when another key is asked for.
     """
     if key not in _KEPT:
-        _KEPT.clear()
+        if _KEPT:
+            _KEPT.clear()
+            _give_back()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
+def _give_back() -> None:
+    """Let the allocator return free memory to the system, where it can."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc: it keeps what it has for later use
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = (x ^ (x >> np.uint64(30))) * _M1

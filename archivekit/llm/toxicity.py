@@ -62,6 +62,7 @@ def trigram_udf():
 
     @F.arrow_udf("array<struct<code: int, n: bigint>>")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        T.kept("trigrams", bool)  # lets go of another operator's tables
         table = np.full(1 << 16, _OTHER, np.int32)
         for c, code in _CODE.items():
             table[ord(c)] = code
@@ -69,7 +70,7 @@ def trigram_udf():
         kind = pa.list_(pa.struct([("code", pa.int32()), ("n", pa.int64())]))
         for batch in batches:
             total = np.zeros(CODES**3, np.int64)
-            for part in T.slices(batch):
+            for part in T.slices(batch, 1 << 19):
                 joined = "\n\n".join(["", *(t or "" for t in part.to_pylist()), ""]).lower()
                 chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
                 codes = table[np.minimum(chars, 0xFFFF)]
