@@ -49,6 +49,9 @@ class Params:
     # Most year and station folders of filed records named one by one.
     folder_globs: int = 2_000
 
+    # Buckets of a table of filed keys, fixed once it is made.
+    key_buckets: int = 64
+
     # Most bitmaps (4 kB each) of a set of keys sent to every executor.
     bitmaps: int = 16_384
 

@@ -163,6 +163,7 @@ def run_archive(
     stations: Sequence[str] | None = None,
     carry: str | None = None,
     rejects: str | None = None,
+    key_table: str | None = None,
 ) -> DataFrame:
     """File the records of all station-days from `start` to `end`.
 
@@ -179,9 +180,9 @@ def run_archive(
 
     Records that can't be filed go to the table `rejects`, if given, and their day is
     logged as FAILED while all others, and its other records, are filed.
-    If a step fails altogether, the days it was meant for are logged as FAILED with the
-    error, which is then raised. Returns the plan: one row per station-day with its
-    status.
+    `key_table` names a bucketed table of filed keys to compare with (`sinks.keys`). If a
+    step fails altogether, the days it was meant for are logged as FAILED with the error,
+    which is then raised. Returns the plan: one row per station-day with its status.
     """
     staged: list[str] = []
     run_ts = F.lit(datetime.now(timezone.utc))
@@ -227,7 +228,7 @@ def run_archive(
         replaced = None if replaced.isEmpty() else stage(replaced, "replaced", staged)
         write_sds(
             filed.select(*schemas.RECORDS.fieldNames()), sds_root, years, folders, codes, replaced, params,
-            renamed.filter("reason IS NULL"),
+            renamed.filter("reason IS NULL"), key_table,
         )
     except Exception as raised:
         error = raised

@@ -568,6 +568,7 @@ _BODIES.update({
         FROM (SELECT station_dir, day, count(*) AS n_files,
                      count(*) FILTER (event_id % 29 <> 0 OR ts < TIMESTAMP '2024-01-11') AS early FROM files GROUP BY ALL)""",
     "refiled_days": _IMPORTED,
+    "import_with_key_table": _IMPORTED,
     "recorder_type_stored": f"SELECT {_TYPE_OUT} FROM types WHERE day >= DATE '2024-01-15'",
     "carried_into_weeks": """
         SELECT station_dir, period, last_value(decided IGNORE NULLS) OVER (PARTITION BY station_dir ORDER BY period

@@ -732,3 +732,14 @@ def day_plan_statuses(spark, folder):
     channels = rename.select_channels(archive.choose_records(recs, known.select(*DAY, "recorder", "keep"), params), params)
     present = days.filter(F.dayofmonth("day") == 7)
     return archive.day_plan(days, channels, present, params)
+
+
+@query
+def import_with_key_table(spark, folder):
+    """The run, repeated, compared with a bucketed table of filed keys."""
+    sds = new_folder(spark, "sds")
+    table = "filed_keys_" + sds.rsplit("-", 1)[-1]
+    files, recs = _all(spark, folder), _raw_records(spark, folder)
+    for _ in range(2):
+        archive.run_archive(spark, files, recs, sds, params=SCALED.with_(key_buckets=8), skip_present=False, key_table=table)
+    return catalog.scan_sds(spark, sds).select(*_SDS_OUT)

@@ -14,7 +14,7 @@ from archivekit.operators.records import IDENTITY, RECORD_KEY, payload_digest
 from archivekit.operators.rename import RenameRule, apply_wildcard_rename
 from archivekit.operators.workspace import discard, exists, stage
 from archivekit.params import Params
-from archivekit.sinks import commits
+from archivekit.sinks import commits, keys as keys_of
 from archivekit.sources.catalog import scan_sds
 
 FILED_KEY = [*RECORD_KEY, "digest"]
@@ -118,13 +118,16 @@ def year_span(records: DataFrame) -> list[int]:
 
 def _filed_keys(
     spark: SparkSession, root: str, years: Sequence[int], stations: Sequence[str] | None,
-    replaced: DataFrame | None, params: Params,
+    replaced: DataFrame | None, params: Params, key_table: str | None = None,
 ) -> DataFrame:
     """Keys of the records filed in these years, without those of days about to be replaced."""
-    filed = scan_sds(spark, root, years, stations)
-    # Payloads are read only where files of older archives have no digest.
-    old = filed.filter(F.col("digest").isNull()).withColumn("digest", payload_digest())
-    filed = filed.filter(F.col("digest").isNotNull()).drop("payload").unionByName(old.drop("payload"))
+    if key_table:
+        filed = keys_of.filed_keys(spark, key_table, root, years)
+    else:
+        filed = scan_sds(spark, root, years, stations)
+        # Payloads are read only where files of older archives have no digest.
+        old = filed.filter(F.col("digest").isNull()).withColumn("digest", payload_digest())
+        filed = filed.filter(F.col("digest").isNotNull()).drop("payload").unionByName(old.drop("payload"))
     if replaced is None:
         return filed.select(*FILED_KEY)
     keyed = N.with_path_keys(filed.select(*FILED_KEY, "src_path"), "src_path")
@@ -144,6 +147,7 @@ def fresh_records(
     params: Params = Params(),
     staged: list[str] | None = None,
     keys: DataFrame | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One copy of each record that is not among the `filed` keys, with its `digest`.
 
@@ -153,17 +157,21 @@ def fresh_records(
     are filed under contested keys, digests are compared, again without payloads, and
     only records that are found to be wanted are brought together to leave one copy each.
 
-    `keys` has the keys of the records, if they are at hand. Tables written on the way
-    are added to `staged`, to be discarded once the records are written.
+    `keys` has the keys of the records, if they are at hand. `filed` comes in so many
+    `buckets` of the record key, if any: the keys are then dealt alike, and the filed
+    side stays where it lies. Tables written on the way are added to `staged`, to be
+    discarded once the records are written.
     """
-    counted = (records if keys is None else keys).groupBy(*RECORD_KEY).agg(F.count(F.lit(1)).alias("_n"))
-    held = filed.select(*RECORD_KEY).distinct().withColumn("_held", F.lit(True))
+    own = (records if keys is None else keys).select(*RECORD_KEY)
+    own = own.repartition(buckets, *RECORD_KEY) if buckets else own
+    counted = own.groupBy(*RECORD_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    held = filed.groupBy(*RECORD_KEY).agg(F.collect_set("digest").alias("_held"))
     seen = Observation()
     state = counted.join(held, RECORD_KEY, "left").observe(
         seen, F.count(F.lit(1)).alias("keys"), F.count("_held").alias("held"),
-        F.count_if(F.expr("_n > 1 OR _held")).alias("contested"),
+        F.count_if(F.expr("_n > 1 OR _held IS NOT NULL")).alias("contested"),
     )
-    contested = stage(state.filter("_n > 1 OR _held").select(*RECORD_KEY), "contested", staged)
+    contested = stage(state.filter("_n > 1 OR _held IS NOT NULL").select(*RECORD_KEY, "_held"), "contested", staged)
     seen = seen.get
     if not seen["contested"]:
         return records.withColumn("digest", payload_digest())
@@ -175,7 +183,9 @@ def fresh_records(
         wanted = suspects.groupBy(*FILED_KEY).agg(F.min(F.struct(*_best_first())).alias("_best")).select(
             *FILED_KEY, F.coalesce(F.col("_best.src_path"), F.lit("")).alias("_path")
         )
-        wanted = stage(new_records(wanted, filed, FILED_KEY), "wanted", staged)
+        known = wanted.join(contested, RECORD_KEY, "left")
+        wanted = known.filter("_held IS NULL OR NOT array_contains(_held, digest)").drop("_held")
+        wanted = stage(wanted, "wanted", staged)
         if seen["contested"] == seen["keys"] and wanted.isEmpty():
             return records.limit(0).withColumn("digest", payload_digest())
         named = suspects.withColumn("_path", F.coalesce("src_path", F.lit("")))
@@ -197,6 +207,7 @@ def write_sds(
     replaced: DataFrame | None = None,
     params: Params = Params(),
     keys: DataFrame | None = None,
+    key_table: str | None = None,
 ) -> None:
     """Make records unique, append those not filed yet and publish them.
 
@@ -205,7 +216,9 @@ def write_sds(
     the folders compared against, as `years` does. What earlier runs filed from the
     station-days in `replaced` stops counting as the new records start to. Until then
     nothing that is written is read; a write that breaks leaves the archive as it was.
-    `keys` may hold the record keys of `records` as a stored table.
+    `keys` may hold the record keys of `records` as a stored table. With `key_table`, the
+    name of a table of filed keys (`sinks.keys`), the comparison reads that table, bucket
+    by bucket, instead of the archive's folders.
 
     `years` limits the folders compared against; by default it is read off the
     records. Rebalancing by day file gives few files per folder and splits a
@@ -219,9 +232,12 @@ def write_sds(
     staged: list[str] = []
     try:
         if years:
-            filed = _filed_keys(spark, root, years, stations, replaced, params)
+            if key_table:
+                keys_of.open_keys(spark, key_table, root, params)
+            filed = _filed_keys(spark, root, years, stations, replaced, params, key_table)
             keys = None if keys is None else with_identity(keys)
-            fresh = fresh_records(with_identity(records), filed, params, staged, keys)
+            buckets = params.key_buckets if key_table else None
+            fresh = fresh_records(with_identity(records), filed, params, staged, keys, buckets)
             (
                 assign_sds_day(fresh)
                 .withColumn("run", F.lit(run))
@@ -230,6 +246,8 @@ def write_sds(
                 .sortWithinPartitions(*schemas.SDS_PARTITIONS, "loc", "end_ts", "start_ts")
                 .write.mode("append").partitionBy(*folders).parquet(root)
             )
+            if key_table and exists(spark, f"{root}/year=*"):
+                keys_of.add_keys(spark, key_table, root, run, params)
     finally:
         discard(spark, staged)
     if years or replaced is not None:

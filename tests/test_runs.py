@@ -147,6 +147,43 @@ def test_payloads_are_neither_aggregated_nor_shuffled_unless_contested(spark, tm
     assert "Window" not in plan_of(unique) and unique.count() == 50
 
 
+def test_filed_keys_are_compared_where_they_lie(spark, tmp_path):
+    from archivekit.sinks import keys
+
+    settings, root, t = P.with_(key_buckets=4), str(tmp_path / "sds"), datetime(2023, 1, 1)
+    rows = [record("VW.STAA.00.CHZ", t + timedelta(minutes=i), 100) for i in range(40)]
+    # Filed before there was a table of keys, and by a run that was never published.
+    sink.write_sds(record_table(spark, rows[:10]), root)
+    write = lambda some: sink.write_sds(record_table(spark, some), root, params=settings, key_table="some_keys")
+    write(rows[5:20])
+    assert catalog.scan_sds(spark, root).count() == 20
+    real = commits.publish
+    commits.publish = lambda *args: (_ for _ in ()).throw(RuntimeError("lost"))
+    try:
+        with pytest.raises(RuntimeError):
+            write(rows[15:30])
+    finally:
+        commits.publish = real
+    write(rows)
+    assert catalog.scan_sds(spark, root).count() == 40
+    # Another session finds the same files under the name.
+    spark.sql("DROP TABLE some_keys")
+    keys.open_keys(spark, "some_keys", root, settings)
+    write(rows)
+    assert catalog.scan_sds(spark, root).count() == 40
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    filed = keys.filed_keys(spark, "some_keys", root, [2023])
+    own = record_table(spark, rows).select(*sink.RECORD_KEY).repartition(4, *sink.RECORD_KEY)
+    counted = own.groupBy(*sink.RECORD_KEY).agg(F.count(F.lit(1)).alias("n"))
+    held = filed.groupBy(*sink.RECORD_KEY).agg(F.collect_set("digest").alias("held"))
+    plan = plan_of(counted.join(held, sink.RECORD_KEY, "left"))
+    spark.conf.unset(key)
+    side = plan[plan.index("FileScan") - 2000 :] if "FileScan" in plan else plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in side
+    spark.sql("DROP TABLE some_keys")
+
+
 # --- the run reads its own days --------------------------------------------------------
 
 def test_a_run_reads_its_own_days_and_compares_with_its_own_folders(spark, tmp_path, monkeypatch):
