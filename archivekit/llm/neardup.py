@@ -23,7 +23,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,7 +178,9 @@ def _same_sets(size: int, percent: int):
     outgrows the tile.
     """
 
-    def run(tile: pd.DataFrame) -> pd.DataFrame:
+    def run(tile):
+        import pandas as pd  # only where tiles are compared: sketching does without
+
         n = tile["set"].map(len).to_numpy()
         flat = np.concatenate([np.asarray(x, np.int64) for x in tile["set"]])
         tokens, back, times = np.unique(flat, return_inverse=True, return_counts=True)

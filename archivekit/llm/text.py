@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer text is taken alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Bytes that are hashed at once; cut between words.
 SEGMENT_BYTES = 1 << 16
 

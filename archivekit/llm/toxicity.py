@@ -54,7 +54,7 @@ _NOISY = re.compile(
 _EDGES = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum()) + "«»“”‘’…–—"
 #: Longer words are decoded anew each time, so that memory stays bounded.
 LONGEST_REMEMBERED = 64
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 
 
 def trigram_udf():
