@@ -33,7 +33,7 @@ class Params:
     # Log lines kept in a failure report.
     tail_lines: int = 30
 
-    # Ancillary and triggered names, matched against the base name.
+    # Ancillary and triggered names, matched against the base name.
     ignore_echo: str = r"trig|\.ss|\.xml|mseed"
     ignore_gecko: str = r"trig|\.dmx|\.suds|mseed"
 

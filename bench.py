@@ -15,7 +15,7 @@ import time
 from archivekit.operators import classify, records as R, rename, select, stamps
 from archivekit.operators.workspace import new_folder
 from archivekit.plans import archive
-from archivekit.plans.queries import SCALED, _all, _raw_records
+from archivekit.plans.queries import ONE_DAY, SCALED, _all, _raw_records
 from archivekit.functions.names import with_path_keys
 from archivekit.session import get_session
 from archivekit.sinks import archive as sink
@@ -51,6 +51,8 @@ def main() -> None:
         lambda: catalog.write_catalog(_all(spark, folder), listing))
     # The record table is an input; storing it is not part of the work.
     _raw_records(spark, folder).repartition(int(cpus)).write.parquet(table)
+    by_day = new_folder(spark, "bench-records-by-day")
+    catalog.write_records(_raw_records(spark, folder), by_day)
 
     files = catalog.read_catalog(spark, listing)
     records = catalog.read_records(spark, table)
@@ -79,6 +81,9 @@ def main() -> None:
         spark, files, records, sds, params=SCALED, skip_present=False)
     seconds["import_first"] = timed(whole)
     seconds["import_again"] = timed(whole)
+    stored = catalog.read_records(spark, by_day, partitioned=True)
+    seconds["import_one_day"] = timed(lambda: archive.run_archive(
+        spark, files, stored, new_folder(spark, "bench-day"), params=SCALED, start=ONE_DAY, end=ONE_DAY))
 
     scale = re.search(r"sf([\d.]+)", folder)
     print(json.dumps({
