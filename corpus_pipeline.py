@@ -11,11 +11,17 @@ return the columns of their input.
    of its words edited, go.
 4. byte_level_bpe: the rest is encoded; a row per document with its token count and the
    digests of its ids and of the bytes decoded from them.
+
+Texts of any length are taken whole. Null and empty texts are kept by the filters (they
+have no toxic term, no shingle and no item) and have no tokens. Rows without doc_id are
+kept by stage 2; of rows that share a doc_id the one with the least text stays, nulls
+first. Ties go to the smallest doc_id. Empty tables give empty results, and extra
+columns of `documents`, whatever they are called, pass through to stage 3.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from archivekit.llm import decontaminate, neardup, queries, toxicity
@@ -28,11 +34,13 @@ BROADCAST_IDS = 2_000_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose score stays below `REJECTED`; repeated rows share their fate."""
     score = toxicity.score_column(docs, queries.table(spark, sf_dir, "labels"))
     return docs.filter(score < REJECTED)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies, as a single row."""
     found = neardup.near_duplicates(docs.select("doc_id", "text"), size=5, percent=80)
     gone = written(found.filter("NOT kept").select("doc_id").distinct(), "gone")
     few = gone.count() <= BROADCAST_IDS
@@ -42,15 +50,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     repeated = written(repeated, "repeated")
     if repeated.isEmpty():
         return left
-    once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # The same row in every attempt of a task; the rank is cut before the shuffle.
+    first = Window.partitionBy("doc_id").orderBy(F.asc_nulls_first("text"), F.xxhash64(*docs.columns))
+    once = left.join(repeated, "doc_id", "left_semi").withColumn("__place", F.row_number().over(first))
+    once = once.filter("__place = 1").drop("__place")
     return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that hold no benchmark item."""
     return decontaminate.clean(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and digests of each row; repeated rows give repeated results."""
     return queries.bpe_digests(docs)
 
 
@@ -66,6 +79,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table `documents`, each written before the next one reads it."""
     docs = queries.table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = written(function(spark, docs, sf_dir), name)
