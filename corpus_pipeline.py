@@ -27,6 +27,13 @@ from pyspark.sql import functions as F
 from archivekit.llm import decontaminate, neardup, queries, toxicity
 from archivekit.operators.workspace import stage as written
 
+#: Texts that travel to Python together: whole batches are held there and outside the heap
+#: of the JVM, and documents may be long. Set for the session when the pipeline runs, as its
+#: last stage runs later.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
 #: Documents of this score or more are rejected.
 REJECTED = 0.7
 #: Ids of dropped documents that are broadcast at most; more are joined by a shuffle.
@@ -80,6 +87,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table `documents`, each written before the next one reads it."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     docs = queries.table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = written(function(spark, docs, sf_dir), name)
