@@ -216,13 +216,36 @@ def _same_sets(size: int, percent: int):
     return run
 
 
-def _tiled(docs: DataFrame, big: DataFrame, size: int, percent: int, broadcast_ids: int) -> DataFrame:
+def _promising(least: int):
+    """Members of a tile whose sketch is like that of a member of another component.
+
+    A tile meets in sketches of 40 bytes a member first: full sets, which may be as long
+    as texts, travel only to tiles in which they may be linked, by the test that
+    candidates pass in small nodes too.
+    """
+
+    def run(tile):
+        total = np.zeros((len(tile), len(tile)), np.int16)
+        for k in range(LONGS):
+            bits = tile[f"b{k}"].to_numpy(np.int64).view(np.uint64)
+            x = bits[:, None] ^ bits[None, :]
+            x |= x >> np.uint64(2)
+            x |= x >> np.uint64(1)
+            total += np.int16(16) - np.bitwise_count(x & np.uint64(0x1111111111111111))
+        root = tile["root"].to_numpy()
+        found = ((total >= least) & (root[:, None] != root[None, :])).any(axis=1)
+        return tile.loc[found, ["node", "s", "t", "id", "root"]].drop_duplicates()
+
+    return run
+
+
+def _tiled(docs: DataFrame, big: DataFrame, size: int, percent: int, least: int, broadcast_ids: int) -> DataFrame:
     """Links between components within large nodes, by full sets in tiles of bounded size.
 
     Two members of a node's main component have nothing to join. So only the members
     outside it, in tiles, meet each other and the tiles of the main component: of that,
-    a member is copied for each tile of the others, however large it is itself. Nodes
-    that hold one component by now are left out.
+    a member's sketch is copied for each tile of the others, and its full set for those
+    tiles where it may have a link. Nodes that hold one component by now are left out.
     """
     counts = big.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("node").agg(
         F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).filter("all > top.n")
@@ -231,8 +254,8 @@ def _tiled(docs: DataFrame, big: DataFrame, size: int, percent: int, broadcast_i
         "node", F.col("top.root").alias("core"), tiles(F.col("all") - F.col("top.n")).alias("k"), tiles(F.col("top.n")).alias("cores")), "mixed")
     main = F.col("root") == F.col("core")
     own = F.pmod(F.xxhash64("id", F.lit(5)), F.when(main, F.col("cores")).otherwise(F.col("k"))).cast("int")
-    rows = stage(big.select("node", "id", "root").join(parts, "node").select("node", "id", "root", "k", "cores", main.alias("main"), own.alias("own")), "members")
-    sets = _sets(docs, rows.select(F.col("id").alias("doc_id")).distinct(), size, broadcast_ids)
+    bits = [F.col(f"m.b{j}").alias(f"b{j}") for j in range(LONGS)]
+    rows = big.join(parts, "node").select("node", "id", "root", *bits, "k", "cores", main.alias("main"), own.alias("own"))
     # Tiles are numbered: first those of the others, then those of the main component.
     k, own = F.col("k"), F.col("own")
     cell = lambda s, t: F.struct(s.cast("int").alias("s"), t.cast("int").alias("t"))
@@ -241,7 +264,11 @@ def _tiled(docs: DataFrame, big: DataFrame, size: int, percent: int, broadcast_i
         F.transform(others, lambda i: cell(F.least(i, own), F.greatest(i, own))),
         F.transform(F.sequence(F.lit(0), F.col("cores") - 1), lambda i: cell(own, k + i)),
     ))
-    dealt = rows.select("node", "id", "root", F.explode(met).alias("x")).select("node", "id", "root", "x.s", "x.t")
+    bits = [f"b{j}" for j in range(LONGS)]
+    dealt = rows.select("node", "id", "root", *bits, F.explode(met).alias("x")).select("node", "id", "root", *bits, "x.s", "x.t")
+    dealt = dealt.groupBy("node", "s", "t").applyInPandas(_promising(least), "node long, s int, t int, id long, root long")
+    dealt = stage(dealt, "promising")
+    sets = _sets(docs, dealt.select(F.col("id").alias("doc_id")).distinct(), size, broadcast_ids)
     return dealt.join(sets, "id").groupBy("node", "s", "t").applyInPandas(_same_sets(size, percent), "a long, b long")
 
 
@@ -338,7 +365,7 @@ def near_duplicates(
             break
         if level == levels:
             dense = big.drop("root").join(known.withColumnRenamed("v", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-            more = stage(_tiled(docs, dense, size, percent, broadcast_ids).distinct(), "dense")
+            more = stage(_tiled(docs, dense, size, percent, least, broadcast_ids).distinct(), "dense")
             known = _joined(known, more)
 
     out = sketches.join(classes, ["f1", "f2", "n"], "left")
