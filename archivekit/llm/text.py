@@ -40,14 +40,19 @@ def kept(key, make):
     if key not in _KEPT:
         if _KEPT:
             _KEPT.clear()
-            _give_back()
+            gc.collect()
+            give_back()
         _KEPT[key] = make()
     return _KEPT[key]
 
 
-def _give_back() -> None:
-    """Let the allocator return free memory to the system, where it can."""
-    gc.collect()
+def give_back() -> None:
+    """Let the allocators of Python, numpy and Arrow return free memory to the system.
+
+    Several workers share an executor's memory, most of them waiting: each would hold on to
+    what its largest batch took.
+    """
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):  # not glibc: it keeps what it has for later use
@@ -72,13 +77,17 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
-    """Runs of rows of at most `limit` bytes; a row above it comes alone."""
+    """Runs of rows of at most `limit` bytes; a row above it comes alone.
+
+    After the last run, memory that is free by then goes back to the system.
+    """
     _, offsets = raw(column)
     at = 0
     while at < len(column):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         yield column.slice(at, to - at)
         at = to
+    give_back()
 
 
 @lru_cache(1)
