@@ -12,6 +12,7 @@ from archivekit import schemas
 from archivekit.functions import names as N
 from archivekit.operators.carry import carried_before, carry_on, read_carry
 from archivekit.operators.changes import days_changed, fingerprint
+from archivekit.operators.checks import day_checks
 from archivekit.operators.classify import KNOWN_RECORDERS, carry_type, decide_type, is_known_recorder
 from archivekit.operators.lookup import attach, attach_small
 from archivekit.operators.records import RECORD_KEY
@@ -164,6 +165,7 @@ def run_archive(
     carry: str | None = None,
     rejects: str | None = None,
     key_table: str | None = None,
+    checks: str | None = None,
 ) -> DataFrame:
     """File the records of all station-days from `start` to `end`.
 
@@ -180,7 +182,9 @@ def run_archive(
 
     Records that can't be filed go to the table `rejects`, if given, and their day is
     logged as FAILED while all others, and its other records, are filed.
-    `key_table` names a bucketed table of filed keys to compare with (`sinks.keys`). If a
+    `key_table` names a bucketed table of filed keys to compare with (`sinks.keys`). What
+    looks wrong about the days being filed (`operators.checks`: errant stations, too many
+    streams) is added to the table `checks`, if given, before anything is filed. If a
     step fails altogether, the days it was meant for are logged as FAILED with the error,
     which is then raised. Returns the plan: one row per station-day with its status.
     """
@@ -224,6 +228,10 @@ def run_archive(
         if any_bad:
             plan = _with_rejects(renamed, plan, run_ts, rejects, staged)
             filed = filed.filter(reject_reason().isNull())
+        if checks:
+            of_run = attach_small(between_days(files, start, end), go, DAY, ["name"], params)
+            found = day_checks(of_run, attach_small(chosen, go, DAY, ["start_ts", "cha"], params), renamed, params)
+            found.select(run_ts.alias("run_ts"), "*").write.mode("append").parquet(checks)
         replaced = todo.filter(F.col("change") == "changed").join(go, DAY, "left_semi").select(*DAY)
         replaced = None if replaced.isEmpty() else stage(replaced, "replaced", staged)
         write_sds(
