@@ -123,6 +123,38 @@ ORACLES: dict[str, str] = {
                CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
         FROM f""",
+    "op5_embedding_near_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        ), sound AS MATERIALIZED (
+            SELECT vec_id, label, e FROM v
+            WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(e, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+            ON a.label = b.label AND a.vec_id < b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98
+        ), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a
+        ), least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM edges GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM v JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)""",
+    "op8_minhash_near_dedup": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+                ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g FROM d
+        ), s AS (SELECT doc_id, unnest(g) AS shingle, len(g) AS n FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+            GROUP BY ALL HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+        ), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a
+        ), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, len(g) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)""",
     "op11_source_divergence_audit": f"""
         WITH d AS (
             SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,

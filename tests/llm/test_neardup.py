@@ -153,3 +153,12 @@ def test_pairs_in_a_dense_label_of_unlinked_vectors(spark, monkeypatch):
         spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long"), window=8, recall=0.99).collect()}
     assert len(got) == len(rows)
     assert sum(got[2000 + k]["component_id"] == got[k]["component_id"] for k in range(200)) >= 196
+
+
+@pytest.mark.parametrize("query", ["op5_embedding_near_dedup", "op8_minhash_near_dedup"])
+def test_queries_equal_all_pairs_in_sql(spark, query):
+    from archivekit.llm.queries import ORACLES, QUERIES
+    from compare import connect, difference
+
+    folder = "/root/testdata/sf0.01"
+    assert difference(QUERIES[query](spark, folder), ORACLES[query], connect(folder)) is None
