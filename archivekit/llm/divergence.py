@@ -38,8 +38,9 @@ SCALE, PRIOR = 1_000_000_000, 5
 #: Kept digests sent to every task at most (there, some 300 bytes each with their strings);
 #: more are joined by a shuffle, with the same result.
 BROADCAST_DIGESTS = 500_000
-#: Bytes of text counted together, and sources of a matrix's rows.
-SLICE, TILE = 8 << 20, 1024
+#: Rows of counts that a task holds and adds up before it sends them on, rows sent at
+#: once, digests whose strings it remembers if all are wanted, sources of a matrix's rows.
+HELD, SENT, REMEMBERED, TILE = 1 << 19, 1 << 16, 100_000, 1024
 #: Numbers held in matrices by a task before they are sent on.
 MATRIX_NUMBERS = 8_000_000
 
@@ -63,32 +64,60 @@ def _digests(column: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
     at = 0
-    for part in T.slices(batch.column(2), SLICE):
+    for part in T.slices(batch.column(2)):
         yield batch.column(0).slice(at, len(part)), batch.column(1).slice(at, len(part)), part
         at += len(part)
 
 
+def _added(group: np.ndarray, digest: np.ndarray, n: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One row for each (group, digest), with the sums of the others."""
+    order = np.lexsort((digest, group))
+    g, d = group[order], digest[order]
+    new = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (d[1:] != d[:-1])])
+    return g[new], d[new], np.add.reduceat(n[order], new), np.add.reduceat(docs[order], new)
+
+
 def _counted(bits: int):
+    """Counts of a slice at a time, added up over slices as far as `HELD` rows allow."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number: dict[tuple[str, str], int] = {}
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def add_up() -> None:
+            held[:] = [_added(*map(np.concatenate, zip(*held)))]
+
+        def send() -> Iterator[pa.RecordBatch]:
+            names = [pa.array(x, pa.string()) for x in zip(*number)]
+            for g, d, n, docs in held:
+                for a in range(0, len(g), SENT):
+                    b = a + SENT
+                    named = [pa.DictionaryArray.from_arrays(g[a:b], x).cast(pa.string()) for x in names]
+                    yield pa.RecordBatch.from_arrays([*named, *map(pa.array, (d[a:b], n[a:b], docs[a:b]))], schema=_COUNTS)
+            held.clear()
+            number.clear()
+
         for batch in batches:
             for lang, source, texts in _slices(batch):
                 _, digest, _, _, rows = _digests(texts, bits)
-                of_row = list(zip(lang.to_pylist(), source.to_pylist()))
-                pairs = sorted(set(of_row))
-                number = {p: i for i, p in enumerate(pairs)}
-                group = np.array([number[p] for p in of_row], np.int32)[rows]
-                order = np.lexsort((rows, digest, group))
-                g, d, r = group[order], digest[order], rows[order]
-                if not len(d):
+                if not len(digest):
                     continue
-                new = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (d[1:] != d[:-1])])
-                fresh = np.r_[True, (r[1:] != r[:-1])]
-                fresh[new] = True
-                named = [pa.DictionaryArray.from_arrays(g[new], pa.array(x, pa.string())).cast(pa.string()) for x in zip(*pairs)]
-                yield pa.RecordBatch.from_arrays([
-                    *named,
-                    pa.array(d[new]), pa.array(np.diff(np.r_[new, len(d)])), pa.array(np.add.reduceat(fresh.astype(np.int64), new)),
-                ], schema=_COUNTS)
+                of_row = [number.setdefault(p, len(number)) for p in zip(lang.to_pylist(), source.to_pylist())]
+                group = np.array(of_row, np.int32)[rows]
+                # Equal keys stay in the order of their rows, so a change of row is a document.
+                order = np.lexsort((digest, group))
+                g, d, r = group[order], digest[order], rows[order]
+                first = np.r_[True, (g[1:] != g[:-1]) | (d[1:] != d[:-1])]
+                new = np.flatnonzero(first)
+                fresh = first | np.r_[True, r[1:] != r[:-1]]
+                held.append((g[new], d[new], np.diff(np.r_[new, len(d)]), np.add.reduceat(fresh.astype(np.int64), new)))
+                if sum(len(x[0]) for x in held) > HELD or len(number) > HELD:
+                    add_up()
+                    if len(held[0][0]) > HELD // 2 or len(number) > HELD // 2:
+                        yield from send()
+        if held:
+            add_up()
+            yield from send()
 
     return count
 
@@ -122,13 +151,13 @@ def _described(bits: int, wanted: Broadcast | None):
         keep = None if wanted is None else wanted.value
         known: dict[int, tuple[bytes, bytes]] = {}
         for batch in batches:
-            for texts in T.slices(batch.column(0), SLICE):
+            for texts in T.slices(batch.column(0)):
                 data, digest, starts, ends, _ = _digests(texts, bits)
                 if keep is not None and len(digest):
                     at = np.minimum(np.searchsorted(keep, digest), max(0, len(keep) - 1))
                     has = keep[at] == digest if len(keep) else np.zeros(len(digest), bool)
                     digest, starts, ends = digest[has], starts[has], ends[has]
-                else:
+                elif len(known) > REMEMBERED:
                     known.clear()
                 out = []
                 for k, (a, b) in _strings_of(data, digest, starts, ends).items():

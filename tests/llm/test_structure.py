@@ -300,3 +300,37 @@ def test_divergence_equals_sql(spark):
 
     folder = "/root/testdata/sf0.01"
     assert difference(op11_source_divergence_audit(spark, folder), ORACLES["op11_source_divergence_audit"], connect(folder)) is None
+
+
+def test_divergence_tasks_hold_little_of_a_large_batch(rng):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=32_000)) for _ in range(40)] * 2
+    named = pa.RecordBatch.from_arrays([pa.array([x] * len(texts)) for x in ("en", "s")] + [pa.array(texts)], ["lang", "source", "text"])
+    for task, batch in ((divergence._counted(64), named), (divergence._described(64, None), named.select(["text"]))):
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in task(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == len(set(words))  # over all slices of the batch, not for each of them
+        assert peak < 64 << 20
+
+
+def test_divergence_counts_sent_early_add_up(monkeypatch):
+    import pyarrow as pa
+    from collections import Counter
+
+    monkeypatch.setattr(divergence, "HELD", 4)
+    monkeypatch.setattr(divergence, "SENT", 3)
+    rows = [("en", "ab"[k % 2], f"one two {'three ' * k} word{chr(97 + k)}") for k in range(9)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[k : k + 1])], ["lang", "source", "text"]) for k in range(9)]
+    n, docs = Counter(), Counter()
+    for out in divergence._counted(64)(iter(batches)):
+        for lang, source, digest, count, held in zip(*(c.to_pylist() for c in out.columns)):
+            n[source, digest] += count
+            docs[source, digest] += held
+    assert sorted(n.values()) == sorted([5, 4] * 2 + [20, 16] + [1] * 9)
+    assert sorted(docs.values()) == sorted([5, 4] * 2 + [4, 4] + [1] * 9)
