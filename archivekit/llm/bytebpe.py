@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from archivekit.llm import text as T
 from archivekit.llm.merges import Merges
 
-#: Pieces up to this length go through the table many at a time.
-SIDE_BY_SIDE = 48
+#: Pieces up to this length go through the table many at a time, at most so many.
+SIDE_BY_SIDE, COLUMNS = 48, 1 << 15
 #: Bounds of what a worker remembers: entries, and characters of one.
 REMEMBERED, REMEMBERED_CHARS = 100_000, 64
 _FILTER_BITS = 22
@@ -60,6 +60,7 @@ class ByteBpe:
         self._lengths = sorted({len(self.tokens[i]) for i in usable})
         self._pieces: dict[str, bytes] = {}
         self._units: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     @staticmethod
     def _key(token: bytes) -> int:
@@ -68,21 +69,24 @@ class ByteBpe:
             total += (byte + 1) * pow(int(_ODD), i, 1 << 64)
         return total & (1 << 64) - 1
 
-    def _table(self, pieces: np.ndarray) -> np.ndarray:
-        """Last tokens of all prefixes of equally long pieces, one piece a column."""
+    def _table(self, pieces: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Last tokens of all prefixes, one piece a column; `sizes` fall, rows are padded."""
         m, n = pieces.shape
         up = np.cumprod(np.array([1, *[_ODD] * n], np.uint64))
         down = np.cumprod(np.array([1, *[self._inverse] * n], np.uint64))
         total = np.zeros((n + 1, m), np.uint64)
         np.cumsum((pieces.T.astype(np.uint64) + np.uint64(1)) * up[:n, None], axis=0, out=total[1:])
-        last = np.full((n + 1, m), -1, np.int64)
+        last = np.full((n + 1, m), -1, np.int32)
         shift = np.uint64(64 - _FILTER_BITS)
         for j in range(1, n + 1):
-            open_, left = np.ones(m, bool), m
+            # Columns whose prefix of this length has no last token yet.
+            left = np.arange(np.searchsorted(-sizes, -j, side="right"))
             for size in reversed([s for s in self._lengths if s <= j]):
+                if not left.size:
+                    break
                 i = j - size
-                keys = (total[j] - total[i]) * down[i]
-                some = np.flatnonzero(self._filter[(keys >> shift).view(np.int64)] & open_)
+                keys = (total[j, left] - total[i, left]) * down[i]
+                some = np.flatnonzero(self._filter[(keys >> shift).view(np.int64)])
                 if not some.size:
                     continue
                 keys = keys[some]
@@ -90,37 +94,38 @@ class ByteBpe:
                 hit = self._keys[at] == keys
                 some, found = some[hit], self._ids[at[hit]]
                 if i:
-                    fits = self.merges.apart(last[i, some], found)
+                    fits = self.merges.apart(last[i, left[some]], found)
                     some, found = some[fits], found[fits]
-                last[j, some] = found
-                open_[some] = False
-                left -= len(some)
-                if not left:
-                    break
+                last[j, left[some]] = found
+                left = np.delete(left, some)
         return last
 
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Token ids of each piece, as the bytes of little-endian 32-bit numbers."""
         out: list = [None] * len(pieces)
-        by: dict[int, list[int]] = {}
+        many: list[int] = []
         for k, piece in enumerate(pieces):
             whole = self.merges.rank.get(piece)
             if whole is not None:  # a piece that is a token is that token
                 out[k] = whole.to_bytes(4, "little")
             elif len(piece) <= SIDE_BY_SIDE:
-                by.setdefault(len(piece), []).append(k)
+                many.append(k)
             else:
                 out[k] = Prefixes(self, piece).ids().tobytes()
-        for n, at in by.items():
-            rows = np.frombuffer(b"".join(pieces[k] for k in at), np.uint8).reshape(len(at), n)
-            last = self._table(rows)
-            ids, place = np.full((len(at), n), -1, np.int32), np.full(len(at), n)
+        many.sort(key=lambda k: -len(pieces[k]))
+        for first in range(0, len(many), COLUMNS):
+            at = many[first : first + COLUMNS]
+            n = len(pieces[at[0]])
+            rows = np.frombuffer(b"".join(pieces[k].ljust(n, b"\0") for k in at), np.uint8).reshape(len(at), n)
+            place = np.array([len(pieces[k]) for k in at])
+            last = self._table(rows, place)
+            ids, live = np.full((len(at), n), -1, np.int32), np.flatnonzero(place)
             for step in range(n - 1, -1, -1):
-                live = np.flatnonzero(place)
                 if not live.size:
                     break
                 ids[live, step] = last[place[live], live]
                 place[live] -= self.sizes[ids[live, step]]
+                live = live[place[live] > 0]
             held = ids >= 0
             flat, ends = ids[held].astype("<i4").tobytes(), (4 * np.cumsum(held.sum(1))).tolist()
             for k, a, b in zip(at, [0, *ends], ends):
@@ -130,10 +135,15 @@ class ByteBpe:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of whole texts."""
         split = [_UNIT.findall(text) for text in texts]
-        if len(self._units) > REMEMBERED or len(self._pieces) > REMEMBERED:
-            self._units.clear()
+        # Units used since the last change stay remembered, so common ones always do.
+        if len(self._units) > REMEMBERED // 2:
+            self._older, self._units = self._units, {}
+        if len(self._pieces) > REMEMBERED:
             self._pieces.clear()
-        new = {u for units in split for u in units if u not in self._units}
+        new = set().union(*split).difference(self._units)
+        again = new.intersection(self._older)
+        self._units.update((u, self._older[u]) for u in again)
+        new -= again
         # A blank and letters, or letters alone, are one match of the pattern.
         plain = [u for u in new if u.isalpha() or u[0] == " " and u[1:].isalpha()]
         pieces = {u: self.pattern.findall(u) for u in new.difference(plain)}

@@ -55,6 +55,22 @@ def test_appending_and_editing_equal_encoding_anew(rng):
         assert table.ids().tolist() == [bpe.merges.rank[t] for t in bpe.merges.merge(table.data)]
 
 
+def test_pieces_of_all_lengths_share_a_table_and_common_words_stay(reference, monkeypatch):
+    bpe, tables, given = bytebpe.ByteBpe(RANKS, P.PATTERN), [], []
+    table, pieces = bpe._table, bpe.encode_pieces
+    monkeypatch.setattr(bpe, "_table", lambda *a: (tables.append(1), table(*a))[1])
+    monkeypatch.setattr(bpe, "encode_pieces", lambda p: (given.extend(p), pieces(p))[1])
+    monkeypatch.setattr(bytebpe, "REMEMBERED", 40)
+    texts = [" ".join(["qzcommonly", *["qz" + "xaj"[k % 3] * j for j in range(1, 40)]]) for k in range(6)]
+    for text in texts:
+        assert bpe.encode([text])[0].tolist() == reference.encode_ordinary(text)
+    assert len(tables) == 6  # one for each text, whatever lengths its new words have
+    assert given.count(b"qzcommonly") == 1
+    monkeypatch.setattr(bytebpe, "COLUMNS", 7)
+    again = bytebpe.ByteBpe(RANKS, P.PATTERN).encode(texts)
+    assert [ids.tolist() for ids in again] == [reference.encode_ordinary(t) for t in texts]
+
+
 def test_an_edit_of_a_long_piece_touches_little():
     bpe = bytebpe.load(RANKS, P.PATTERN)
     table = bytebpe.Prefixes(bpe, b"therationing" * 200)
