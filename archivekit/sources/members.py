@@ -35,16 +35,20 @@ def load_contents(
 
 
 def expand_members(
-    files: DataFrame, suffixes: Sequence[str] = DATA_MEMBERS, chunk_bytes: int = 64 << 20
+    files: DataFrame, suffixes: Sequence[str] = DATA_MEMBERS, chunk_bytes: int = 64 << 20, chunk_rows: int = 4096
 ) -> DataFrame:
     """One row per data member of each (path, content) row.
 
     Members are keyed by (path, member): equal member names of different files
-    stay apart. Output batches are cut by size, so a task holds one archive and
-    at most `chunk_bytes` of members.
+    stay apart. Output batches are cut by size and by rows, as tiny members weigh
+    little beside their rows: a task holds a batch of archives and at most
+    `chunk_bytes` of members, or `chunk_rows` of them.
     """
-    wanted = tuple(suffixes)
+    expand = _expander(tuple(suffixes), chunk_bytes, chunk_rows)
+    return files.select("path", "content").mapInPandas(expand, MEMBER_SCHEMA)
+
 
+def _expander(wanted: tuple[str, ...], chunk_bytes: int, chunk_rows: int):
     def expand(batches: Iterator) -> Iterator:
         import gzip
         import io
@@ -73,13 +77,13 @@ def expand_members(
                 for member, data in members(path, bytes(content)):
                     rows.append((path, member, len(data), data))
                     held += len(data)
-                    if held >= chunk_bytes:
+                    if held >= chunk_bytes or len(rows) >= chunk_rows:
                         yield pd.DataFrame(rows, columns=columns)
                         rows, held = [], 0
         if rows:
             yield pd.DataFrame(rows, columns=columns)
 
-    return files.select("path", "content").mapInPandas(expand, MEMBER_SCHEMA)
+    return expand
 
 
 def member_order(members: DataFrame) -> DataFrame:

@@ -277,3 +277,12 @@ def test_members_keep_their_archive(spark):
         ("2023-10-29 0001 00 ABM1Y.ms", b"one"), ("20231029_0001_ABM1Y.ms", b"three"),
         ("2021-09-26 0005_RDK1.ms", b"E"), ("2021-09-26 0005_RDK1.ms", b"N"),
         ("2024-01-01 0000 52 FRTM.dmx", b"suds"), ("2020-11-08 0001 DDSW.ms", b"plain")])
+
+
+def test_many_tiny_members_leave_in_small_batches():
+    import pandas as pd
+
+    files = pd.DataFrame({"path": [f"/d/{k}.ms" for k in range(10_000)], "content": [b"x"] * 10_000})
+    members_of = members._expander((".ms",), 64 << 20, 4096)
+    sizes = [len(out) for out in members_of(iter([files[k : k + 2500] for k in range(0, 10_000, 2500)]))]
+    assert sum(sizes) == 10_000 and max(sizes) <= 4096
