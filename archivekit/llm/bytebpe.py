@@ -23,7 +23,7 @@ from archivekit.llm import text as T
 from archivekit.llm.merges import Merges
 
 #: Pieces up to this length go through the table many at a time, at most so many.
-SIDE_BY_SIDE, COLUMNS = 48, 1 << 15
+SIDE_BY_SIDE, COLUMNS = 48, 1 << 13
 #: Bounds of what a worker remembers: entries, and characters of one.
 REMEMBERED, REMEMBERED_CHARS = 100_000, 64
 _FILTER_BITS = 22
