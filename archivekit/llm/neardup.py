@@ -273,11 +273,13 @@ def _tiled(docs: DataFrame, big: DataFrame, size: int, percent: int, least: int,
 
 
 def _sets(docs: DataFrame, ids: DataFrame, size: int, broadcast_ids: int) -> DataFrame:
-    """(id, set) of the documents with these distinct ids (doc_id), staged."""
+    """(id, set) of the documents with these distinct ids (doc_id) that have words, from a staged table."""
     ids = stage(ids, "ids")
     ids = F.broadcast(ids) if ids.count() <= broadcast_ids else ids
     some = docs.join(ids, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), sets_udf(size)("text").alias("set"))
-    return stage(some.filter(F.size("set") > 0), "sets")
+    # A filter on what is written: on `some` itself it would run the UDF once more, in Python
+    # workers of its own.
+    return stage(some, "sets").filter(F.size("set") > 0)
 
 
 def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int, broadcast_ids: int) -> DataFrame:
@@ -302,6 +304,7 @@ def near_duplicates(
     have no component and are kept. Ties and repeated rows get the same component.
     """
     spark: SparkSession = docs.sparkSession
+    T.bound_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     least, trees = _least_agreeing(percent / 100), trees_for(percent / 100, recall)
 

@@ -9,7 +9,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-
+from pyspark.sql import SparkSession
+
+#: Rows that are read, and that travel to Python, together: whole batches of texts are held
+#: there, in the heap of the JVM and outside it, and documents may be long.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.parquet.columnarReaderBatchSize": "1024",
+}
 #: Bytes of text that are worked on at once; a longer text is taken alone.
 SLICE_BYTES = 1 << 20
 #: Bytes that are hashed at once; cut between words.
@@ -46,6 +54,12 @@ def kept(key, make):
     return _KEPT[key]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Set `BATCHES` for the session: what is planned from now on keeps to them."""
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
+
+
 def give_back() -> None:
     """Let the allocators of Python, numpy and Arrow return free memory to the system.
 

@@ -21,31 +21,44 @@ columns of `documents`, whatever they are called, pass through to stage 3.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from archivekit.llm import decontaminate, neardup, queries, toxicity
+from archivekit.llm.text import bound_batches
 from archivekit.operators.workspace import stage as written
 
-#: Texts that travel to Python together: whole batches are held there and outside the heap
-#: of the JVM, and documents may be long. Set for the session when the pipeline runs, as its
-#: last stage runs later.
-BATCHES = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
-}
 #: Documents of this score or more are rejected.
 REJECTED = 0.7
 #: Ids of dropped documents that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def bounded(stage: Stage) -> Stage:
+    """The stage in batches of bounded bytes, whether `run` calls it or it is called alone."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@bounded
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score stays below `REJECTED`; repeated rows share their fate."""
     score = toxicity.score_column(docs, queries.table(spark, sf_dir, "labels"))
     return docs.filter(score < REJECTED)
 
 
+@bounded
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, as a single row."""
     found = neardup.near_duplicates(docs.select("doc_id", "text"), size=5, percent=80)
@@ -64,11 +77,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return left.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
 
 
+@bounded
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold no benchmark item."""
     return decontaminate.clean(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
+@bounded
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of each row; repeated rows give repeated results."""
     return queries.bpe_digests(docs)
@@ -87,8 +102,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table `documents`, each written before the next one reads it."""
-    for key, value in BATCHES.items():
-        spark.conf.set(key, value)
     docs = queries.table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = written(function(spark, docs, sf_dir), name)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +157,26 @@ def test_pipeline_stage_by_stage(spark):
     assert all(r["decoded_sha256"] == hashlib.sha256(before[r["doc_id"]].encode()).hexdigest() for r in four)
 
 
+def test_a_stage_called_alone_keeps_batches_small(spark, monkeypatch):
+    wide = {"spark.sql.execution.arrow.maxRecordsPerBatch": "10000", "spark.sql.execution.arrow.maxBytesPerBatch": "64m"}
+    before = {key: spark.conf.get(key) for key in wide}
+
+    @F.arrow_udf("long")
+    def held(text: pa.Array) -> pa.Array:
+        return pa.array([text.nbytes] * len(text), pa.int64())
+
+    monkeypatch.setattr(queries, "bpe_digests", lambda docs: docs.select(held("text").alias("bytes")))
+    docs = spark.range(0, 300, 1, 1).select(F.expr("repeat('x', 100000)").alias("text"))
+    try:
+        for key, value in wide.items():
+            spark.conf.set(key, value)
+        step = dict(corpus_pipeline.STAGES)["byte_level_bpe"]
+        assert max(r["bytes"] for r in step(spark, docs, SMALL).collect()) < 5 << 20
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_stages_take_odd_rows(spark, odd, empty):
     for frame in (odd, empty):
         docs = frame

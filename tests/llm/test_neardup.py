@@ -90,6 +90,20 @@ def test_rows_that_share_an_id_are_one_document(spark):
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(7, 3), (3, 3), (9, 3), (5, 5)}
 
 
+def test_full_sets_are_made_once(spark, monkeypatch):
+    plans, stage = [], neardup.stage
+
+    def staged(df, label, *rest):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return stage(df, label, *rest)
+
+    monkeypatch.setattr(neardup, "stage", staged)
+    docs = spark.createDataFrame([(1, "a b c"), (1, ""), (2, None), (3, "d")], "doc_id long, text string")
+    sets = neardup._sets(docs, docs.select("doc_id").distinct(), 2, 10)
+    assert sorted((r["id"], len(r["set"])) for r in sets.collect()) == [(1, 2), (3, 1)]
+    assert [plan.count("ArrowEvalPython") for label, plan in plans if label == "sets"] == [1]
+
+
 def test_a_path_of_edges_is_one_component(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "a long, b long")
     got = {r["v"]: r["root"] for r in graph.components(edges).collect()}
